@@ -23,9 +23,16 @@ def typed(df: DataFrame, aliases: Iterable[str], dtype: str, default: object = N
 
 
 def project_fields(df: DataFrame, service: str, keep: Iterable[str] = ()) -> DataFrame:
-    """Conform a raw service table to its declared fields, plus columns to carry along."""
-    fields = [typed(df, f.aliases, f.type, f.default).alias(f.name) for f in FIELDS[service]]
-    return df.select(*fields, *keep)
+    """Conform a raw service table to its declared fields, plus columns to carry along.
+
+    The same rule as ``typed``, as SQL text so that one call covers all fields.
+    """
+    def column(field) -> str:
+        found = resolve(df.columns, field.aliases)
+        value = f"`{found}`" if found else "NULL" if field.default is None else str(field.default)
+        return f"try_cast({value} AS {field.type}) AS {field.name}"
+
+    return df.selectExpr(*[column(f) for f in FIELDS[service]], *keep)
 
 
 def code_text(value: Column) -> Column:

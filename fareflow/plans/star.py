@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.functions import clean as c
@@ -141,97 +141,100 @@ def dim_provider(master: DataFrame) -> DataFrame:
 
 
 # --- facts -------------------------------------------------------------------
+# Output column -> SQL over the master.
 
-def _or_missing(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(-1)).cast("int")
-
-
-def _shared_keys() -> dict[str, Column]:
-    return {
-        "trip_key": F.col("trip_business_id"),
-        "service_key": c.service_key(F.col("service_type")),
-        "service_type": F.col("service_type"),
-        "pickup_zone_key": F.col("pickup_location_id"),
-        "dropoff_zone_key": F.col("dropoff_location_id"),
-        "provider_key": c.provider_key(F.col("service_type"), c.provider_code()),
-    }
-
-
-def _project(df: DataFrame, columns: dict[str, Column | str]) -> DataFrame:
-    return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in columns.items()])
+def _day(column: str) -> str:
+    return f"CAST(date_format({column}, 'yyyyMMdd') AS INT)"
 
 
 def _same(*names: str) -> dict[str, str]:
     return {n: n for n in names}
 
 
+_PROVIDER = "coalesce(vendor_id_or_license, dispatching_base_num, originating_base_num)"
+_KEYS = {
+    "trip_key": "trip_business_id",
+    "service_key": "service_id",
+    "service_type": "service_type",
+    "pickup_zone_key": "pickup_location_id",
+    "dropoff_zone_key": "dropoff_location_id",
+    "provider_key": f"CASE WHEN {_PROVIDER} IS NOT NULL THEN abs(xxhash64(service_type, {_PROVIDER})) END",
+}
+_ACTIVITY = {
+    **_KEYS,
+    "pickup_date_key": _day("pickup_date"),
+    "pickup_time_key": "pickup_hour",
+    "dropoff_date_key": _day("dropoff_date"),
+    "dropoff_time_key": "hour(dropoff_datetime)",
+    "trip_distance_miles": "trip_distance",
+    **_same("trip_count", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds", "passenger_count",
+            "average_speed_mph", "weekend_trip_flag", "night_trip_flag", "airport_trip_flag", "quality_warning_count",
+            "quality_status", "source_year", "source_month", "silver_execution_id", "silver_processed_at"),
+}
+_FINANCIAL = {
+    **_KEYS,
+    "date_key": _day("pickup_date"),
+    "time_key": "pickup_hour",
+    "payment_type_key": "coalesce(payment_type, -1)",
+    "rate_code_key": "coalesce(rate_code_id, -1)",
+    "trip_type_key": "coalesce(trip_type, -1)",
+    "extra_amount": "extra",
+    "mta_tax_amount": "mta_tax",
+    "trip_distance_miles": "trip_distance",
+    **_same("fare_amount", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+            "airport_fee", "cbd_congestion_fee", "total_amount", "fare_per_mile", "tip_percentage",
+            "revenue_per_minute", "trip_duration_seconds", "airport_trip_flag", "trip_count", "source_year",
+            "source_month"),
+}
+_CHARGED = ("fare_amount", "tolls_amount", "black_car_fund", "sales_tax", "congestion_surcharge", "airport_fee",
+            "cbd_congestion_fee", "tip_amount")
+_OPERATIONS = {
+    **_KEYS,
+    "request_date_key": _day("request_datetime"),
+    "request_time_key": "hour(request_datetime)",
+    "pickup_date_key": _day("pickup_date"),
+    "pickup_time_key": "pickup_hour",
+    "hvfhs_license_num": "vendor_id_or_license",
+    "trip_miles": "trip_distance",
+    "trip_time_seconds": "reported_trip_time_seconds",
+    "base_passenger_fare": "fare_amount",
+    "tolls": "tolls_amount",
+    "tips": "tip_amount",
+    "passenger_charge_amount": " + ".join(f"coalesce({n}, 0D)" for n in _CHARGED),
+    **_same("hvfhs_company_name", "dispatching_base_num", "originating_base_num", "request_datetime",
+            "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds",
+            "request_to_pickup_seconds", "driver_wait_seconds", "black_car_fund", "sales_tax",
+            "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "driver_pay", "shared_requested",
+            "shared_matched", "access_a_ride", "wav_requested", "wav_matched", "airport_trip_flag",
+            "weekend_trip_flag", "night_trip_flag", "trip_count", "source_year", "source_month"),
+}
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+
+
 def fact_trip_activity(master: DataFrame) -> DataFrame:
     """One row per accepted trip with the attributes all services share."""
-    return _project(master, {
-        **_shared_keys(),
-        "pickup_date_key": c.date_key(F.col("pickup_date")),
-        "pickup_time_key": "pickup_hour",
-        "dropoff_date_key": c.date_key(F.col("dropoff_date")),
-        "dropoff_time_key": F.hour("dropoff_datetime"),
-        **_same("trip_count", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds"),
-        "trip_distance_miles": "trip_distance",
-        **_same("passenger_count", "average_speed_mph", "weekend_trip_flag", "night_trip_flag", "airport_trip_flag",
-                "quality_warning_count", "quality_status", "source_year", "source_month", "silver_execution_id",
-                "silver_processed_at"),
-    })
+    return _project(master, _ACTIVITY)
 
 
 def fact_taxi_financial(master: DataFrame) -> DataFrame:
     """Money of taxi trips; a missing dimension member is key -1."""
-    return _project(master.filter(F.col("service_type").isin(*TAXI_SERVICES)), {
-        **_shared_keys(),
-        "date_key": c.date_key(F.col("pickup_date")),
-        "time_key": "pickup_hour",
-        "payment_type_key": _or_missing("payment_type"),
-        "rate_code_key": _or_missing("rate_code_id"),
-        "trip_type_key": _or_missing("trip_type"),
-        "extra_amount": "extra",
-        "mta_tax_amount": "mta_tax",
-        "trip_distance_miles": "trip_distance",
-        **_same("fare_amount", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
-                "airport_fee", "cbd_congestion_fee", "total_amount", "fare_per_mile", "tip_percentage",
-                "revenue_per_minute", "trip_duration_seconds", "airport_trip_flag", "trip_count", "source_year",
-                "source_month"),
-    })
-
-
-_CHARGED = ("fare_amount", "tolls_amount", "black_car_fund", "sales_tax", "congestion_surcharge", "airport_fee",
-            "cbd_congestion_fee", "tip_amount")
+    return _project(master.filter(F.col("service_type").isin(*TAXI_SERVICES)), _FINANCIAL)
 
 
 def fact_hvfhv_operations(master: DataFrame) -> DataFrame:
     """High-volume trips with waits, flags and money; null charges count as zero in the total."""
-    charge = F.expr(" + ".join(f"coalesce({n}, 0D)" for n in _CHARGED))
-    return _project(master.filter("service_type = 'fhvhv'"), {
-        **_shared_keys(),
-        "request_date_key": c.date_key(F.to_date("request_datetime")),
-        "request_time_key": F.hour("request_datetime"),
-        "pickup_date_key": c.date_key(F.col("pickup_date")),
-        "pickup_time_key": "pickup_hour",
-        "hvfhs_license_num": "vendor_id_or_license",
-        "trip_miles": "trip_distance",
-        "trip_time_seconds": "reported_trip_time_seconds",
-        "base_passenger_fare": "fare_amount",
-        "tolls": "tolls_amount",
-        "tips": "tip_amount",
-        "passenger_charge_amount": charge,
-        **_same("hvfhs_company_name", "dispatching_base_num", "originating_base_num", "request_datetime",
-                "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds",
-                "request_to_pickup_seconds", "driver_wait_seconds", "black_car_fund", "sales_tax",
-                "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "driver_pay", "shared_requested",
-                "shared_matched", "access_a_ride", "wav_requested", "wav_matched", "airport_trip_flag",
-                "weekend_trip_flag", "night_trip_flag", "trip_count", "source_year", "source_month"),
-    })
+    return _project(master.filter("service_type = 'fhvhv'"), _OPERATIONS)
+
+
+FACTS = {
+    "trip_activity": fact_trip_activity,
+    "taxi_financial": fact_taxi_financial,
+    "hvfhv_operations": fact_hvfhv_operations,
+}
 
 
 def facts(master: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "trip_activity": fact_trip_activity(master),
-        "taxi_financial": fact_taxi_financial(master),
-        "hvfhv_operations": fact_hvfhv_operations(master),
-    }
+    return {name: build(master) for name, build in FACTS.items()}

@@ -27,16 +27,19 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return state.first()[0]
 
 
-def stored(spark: SparkSession, name: str, version: str, build, keys=()) -> DataFrame:
+def stored(spark: SparkSession, name: str, version: str, parts, keys=()) -> DataFrame:
     """Write a stage to the shared folder once per session and read it back.
 
-    A lost executor then costs a re-read, not a recomputation of the lineage.
+    ``parts`` yields the frames that make up the stage; each is its own write
+    into its own partitions. A lost executor then costs a re-read, not a
+    recomputation of the lineage.
     """
     slot = (spark.sparkContext.applicationId, name, version)
     if slot not in _STORED:
         short = hashlib.sha256(version.encode()).hexdigest()[:12]
         path = f"{shared_dir(spark)}/fareflow/{name}-{short}-{uuid.uuid4().hex[:8]}"
-        write_partitions(build(), path, keys) if keys else build().write.mode("overwrite").parquet(path)
+        for part in parts:
+            write_partitions(part, path, keys)
         _STORED[slot] = path
     return spark.read.parquet(_STORED[slot])
 
@@ -65,8 +68,9 @@ class Workspace:
 
     def master(self) -> DataFrame:
         """Conformed trips from the written copy, partitioned so scopes prune."""
-        version = _fingerprint(self.spark, self.sf_dir)
-        return stored(self.spark, "master", version, self.live_master, ("service_type", "source_year"))
+        refs = self.references()
+        parts = (trips.service_master(self.raw(s), s, refs) for s in SERVICE_KEYS)
+        return stored(self.spark, "master", _fingerprint(self.spark, self.sf_dir), parts, ("service_type", "source_year"))
 
     def dim_zone(self) -> DataFrame:
         return star.dim_zone(fixtures.zones(self.spark, self.sf_dir))
@@ -75,7 +79,8 @@ class Workspace:
         return star.facts(self.master())
 
     def fact(self, name: str) -> DataFrame:
-        return self.facts()[name]
+        return star.FACTS[name](self.master())
 
     def mart(self, name: str) -> DataFrame:
-        return marts.build_mart(name, self.facts(), self.dim_zone())
+        fact = marts.MARTS[name].fact
+        return marts.build_mart(name, {fact: self.fact(fact)}, self.dim_zone())

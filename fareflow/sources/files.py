@@ -13,23 +13,23 @@ from fareflow.session import prepare
 from fareflow.spec import AIRPORT_ZONES
 
 # Fixed value: how a monthly trip file is named.
-TRIP_FILE = r"(?i)(yellow|green|fhv|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet$"
+TRIP_FILE = r"(?i)(yellow|green|fhv|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet"
 
 
 def scan_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """All monthly files at once; the period comes from the file name, record order from the file.
+    """All monthly files at once; the period comes from the file (or folder) name, record order from the file.
 
     ``source_record`` is unique per row and sorts in file order.
     """
     raw = prepare(spark).read.parquet(*paths)
-    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     return raw.select(
         "*",
-        F.lower(F.regexp_extract(name, TRIP_FILE, 1)).alias("source_service"),
-        F.regexp_extract(name, TRIP_FILE, 2).try_cast("int").alias("source_year"),
-        F.regexp_extract(name, TRIP_FILE, 3).try_cast("int").alias("source_month"),
-        name.alias("source_file"),
-        F.concat_ws(":", F.col("_metadata.file_path"), F.lpad(row.cast("string"), 15, "0")).alias("source_record"),
+        F.lower(F.regexp_extract(path, TRIP_FILE, 1)).alias("source_service"),
+        F.regexp_extract(path, TRIP_FILE, 2).try_cast("int").alias("source_year"),
+        F.regexp_extract(path, TRIP_FILE, 3).try_cast("int").alias("source_month"),
+        F.regexp_extract(path, TRIP_FILE, 0).alias("source_file"),
+        F.concat_ws(":", path, F.lpad(row.cast("string"), 15, "0")).alias("source_record"),
     )
 
 
@@ -177,7 +177,7 @@ def links_from_pages(pages: DataFrame, hosts: Sequence[str] = ()) -> DataFrame:
 def trip_file_candidates(links: DataFrame) -> DataFrame:
     """Links that name a monthly trip file, the last one per service and period."""
     path = F.regexp_extract("link", r"^([^?#]*)", 1)
-    parsed = links.filter(path.rlike(TRIP_FILE)).select(
+    parsed = links.filter(path.rlike(TRIP_FILE + "$")).select(
         F.lower(F.regexp_extract(path, TRIP_FILE, 1)).alias("service"),
         F.regexp_extract(path, TRIP_FILE, 2).cast("int").alias("year"),
         F.regexp_extract(path, TRIP_FILE, 3).cast("int").alias("month"),

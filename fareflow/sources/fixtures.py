@@ -15,9 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of fewer splits than cores is dealt out by key; a large one stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order date; every 101st ``h`` arrives twice."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return (
@@ -138,15 +144,15 @@ _NAMES = {
 }
 
 
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in columns.items()]
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Raw table of one service, all periods, under its published column names."""
     lines = _lines(spark, sf_dir).filter(F.expr(f"l_orderkey % 4 = {_RESIDUE[service]}"))
-    wide = (
-        lines.withColumns({k: F.expr(v) for k, v in _TIMED.items()})
-        .withColumns({k: F.expr(v) for k, v in _RAW.items()})
-    )
-    named = [F.expr(v).alias(k) for k, v in _NAMES[service].items()]
-    return wide.select(*named, *[F.expr(v).alias(k) for k, v in _COMMON.items()])
+    wide = lines.selectExpr("*", *_named(_TIMED)).selectExpr("*", *_named(_RAW))
+    return wide.selectExpr(*_named(_NAMES[service]), *_named(_COMMON))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
