@@ -8,19 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.plans import marts, star, trips
+from fareflow.plans import features, forecast, marts, segments, star, trips, wait_risk
+from fareflow.plans.learning import metrics_frame, release
 from fareflow.session import prepare, shared_dir
 from fareflow.sources import fixtures
-from fareflow.sources.sinks import write_partitions
-from fareflow.spec import SERVICE_KEYS
+from fareflow.sources.sinks import save_model, write_dataset, write_partitions
+from fareflow.spec import SERVICE_KEYS, ForecastSettings, SegmentSettings, WaitRiskSettings
 
 _STORED: dict[tuple, str] = {}
 _INPUTS = ("lineitem", "orders", "nation", "region", "supplier")
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str, tables=_INPUTS) -> str:
     """Paths, sizes and times of the input files; changed inputs mean a new copy."""
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in _INPUTS])
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in tables])
     state = files.select(
         F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", "path", "length", "modificationTime"))), ";"), 256)
     )
@@ -44,6 +45,34 @@ def stored(spark: SparkSession, name: str, version: str, parts, keys=()) -> Data
     return spark.read.parquet(_STORED[slot])
 
 
+def stored_outputs(spark: SparkSession, name: str, version: str, build) -> dict[str, DataFrame]:
+    """Write the named outputs of one run to the shared folder once per session and read them back."""
+    slot = (spark.sparkContext.applicationId, name, version)
+    if slot not in _STORED:
+        root = f"{shared_dir(spark)}/fareflow/{name}-{uuid.uuid4().hex[:8]}"
+        outputs, model, cached = build()
+        for key, df in outputs.items():
+            write_dataset(df, f"{root}/{key}")
+        save_model(model, f"{root}/model")
+        release(cached)
+        _STORED[slot] = root, tuple(outputs)
+    root, names = _STORED[slot]
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names} | {"model_path": f"{root}/model"}
+
+
+# Settings that fit the time span and size of the test tables.
+FORECAST = ForecastSettings(
+    train_start="2024-01-01 00:00:00", train_end="2024-01-20 23:00:00", validation_end="2024-01-25 23:00:00",
+    test_end="2024-01-30 23:00:00", min_total_trips=200, gbt_iterations=8, gbt_depth=4, forest_trees=8, forest_depth=5,
+    glr_iterations=10,
+)
+WAIT_RISK = WaitRiskSettings(
+    train_end="1998-12-31 23:59:59", validation_end="2000-06-30 23:59:59", test_end="2001-08-01 23:59:59",
+    logistic_iterations=15, forest_trees=8, forest_depth=5, gbt_iterations=6, gbt_depth=4,
+)
+SEGMENTS = SegmentSettings(iterations=20)
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = prepare(spark), sf_dir.rstrip("/")
@@ -84,3 +113,47 @@ class Workspace:
     def mart(self, name: str) -> DataFrame:
         fact = marts.MARTS[name].fact
         return marts.build_mart(name, {fact: self.fact(fact)}, self.dim_zone())
+
+    # --- features and models -------------------------------------------------
+
+    def event_features(self) -> DataFrame:
+        """Hourly demand features of the event stream."""
+        return features.zone_hourly_demand_features(fixtures.event_trips(self.spark, self.sf_dir), self.dim_zone())
+
+    def zone_profiles(self) -> DataFrame:
+        return features.zone_profile_features(self.fact("trip_activity"), self.fact("hvfhv_operations"), self.dim_zone())
+
+    def wait_features(self) -> DataFrame:
+        return features.hvfhv_wait_features(self.fact("hvfhv_operations"), self.dim_zone())
+
+    def _candidates(self, name: str, candidates) -> DataFrame:
+        frames = [metrics_frame(self.spark, name, c.algorithm, c.metrics) for c in candidates]
+        whole = frames[0]
+        for frame in frames[1:]:
+            whole = whole.unionByName(frame)
+        return whole
+
+    def forecast(self) -> dict[str, DataFrame]:
+        def run():
+            r = forecast.train_forecast(self.event_features(), FORECAST)
+            keep = [*features.SERIES, "event_timestamp", "pickup_zone_name", "pickup_borough", "trip_count", "prediction"]
+            return {
+                "predictions": r.predictions, "anomalies": r.anomalies, "metrics": r.metric_rows,
+                "candidates": self._candidates("forecast", r.candidates), "test": r.test.select(*keep),
+            }, r.model, r.cached
+        return stored_outputs(self.spark, "forecast", _fingerprint(self.spark, self.sf_dir, ("events",)), run)
+
+    def segments(self) -> dict[str, DataFrame]:
+        def run():
+            r = segments.train_segments(self.zone_profiles(), SEGMENTS)
+            return {"assignments": r.assignments, "profiles": r.profiles, "metrics": r.metric_rows}, r.model, r.cached
+        return stored_outputs(self.spark, "segments", _fingerprint(self.spark, self.sf_dir), run)
+
+    def wait_risk(self) -> dict[str, DataFrame]:
+        def run():
+            r = wait_risk.train_wait_risk(self.wait_features(), WAIT_RISK)
+            return {
+                "predictions": r.predictions, "importance": r.importance, "metrics": r.metric_rows,
+                "candidates": self._candidates("wait-risk", r.candidates),
+            }, r.model, r.cached
+        return stored_outputs(self.spark, "wait-risk", _fingerprint(self.spark, self.sf_dir), run)

@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from fareflow.session import prepare
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its footer is read once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = prepare(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = reader.parquet(path).schema
+    return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
