@@ -1,4 +1,4 @@
 """Everything registered."""
 
-from checks import gold, models, silver  # noqa: F401
+from checks import dashboards, gold, models, silver  # noqa: F401
 from checks.registry import ORACLES, QUERIES  # noqa: F401
