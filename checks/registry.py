@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.blocks import compose
 from fareflow.plans.workspace import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +35,7 @@ def register(name: str, build: Callable[[Workspace], DataFrame], sql: str | None
         raise ValueError(f"{name} is registered twice")
     QUERIES[name] = lambda spark, sf_dir: tidy(build(Workspace(spark, sf_dir)))
     if sql is not None:
-        ORACLES[name] = compose(sql)
+        ORACLES[name] = sql
 
 
 def query(name: str, sql: str | None = None):

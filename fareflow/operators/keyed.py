@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,28 @@ def first_present(df: DataFrame, keys: Sequence[str], order: Column, columns: Se
     ])
 
 
+def running_number(df: DataFrame, keys: Sequence[str], time: str, tie: str, into: str, bucket: str = "hour") -> DataFrame:
+    """1, 2, 3, ... per key in time order, without ever sorting a whole key in one task.
+
+    Rows are numbered within (key, time bucket); bucket counts, one row each,
+    give the offset. A key that never sleeps is thus spread over its buckets.
+    """
+    bucketed = df.withColumn("_bucket", F.date_trunc(bucket, time))
+    spans = [*keys, "_bucket"]
+    counts = bucketed.groupBy(*spans).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(k).alias(f"_{k}") for k in spans], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    same = F.lit(True)
+    for k in spans:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    within = F.row_number().over(Window.partitionBy(*spans).orderBy(time, tie))
+    return bucketed.withColumn("_rank", within).join(offsets, same).withColumn(
+        into, (F.col("_rank") + F.col("_offset")).cast("int")
+    ).select(*df.columns, into)
+
+
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """Top-k report; Spark keeps k rows per task and merges them."""
     return df.orderBy(*order).limit(n)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareflow.functions.clean import resolve
 from fareflow.session import prepare
@@ -127,14 +126,14 @@ def dataset_inventory(df: DataFrame, dataset: str, layer: str) -> DataFrame:
     ).select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset_name"), "*")
 
 
-RUN_EVENT = T.StructType.fromDDL(
+RUN_EVENT = (
     "event_id bigint, execution_id string, parent_execution_id string, layer string, execution_type string, "
     "status string, started_at timestamp_ntz, finished_at timestamp_ntz, duration_seconds double, "
     "attempt_number int, selection map<string,string>, metrics map<string,double>, written_at timestamp_ntz"
 )
 
 
-def read_event_log(spark: SparkSession, root: str, schema: T.StructType = RUN_EVENT, newest: int | None = None) -> DataFrame:
+def read_event_log(spark: SparkSession, root: str, schema: str = RUN_EVENT, newest: int | None = None) -> DataFrame:
     """JSON lines of all layers; malformed lines are skipped and the source file is kept."""
     log = (
         spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).json(root)
@@ -143,10 +142,10 @@ def read_event_log(spark: SparkSession, root: str, schema: T.StructType = RUN_EV
     return log if newest is None else log.orderBy(F.desc("written_at"), F.desc("event_id")).limit(newest)
 
 
-def read_manifests(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Nested run manifests, one JSON document per file."""
+def read_manifests(spark: SparkSession, root: str, schema: str, one_per_file: bool = True) -> DataFrame:
+    """Nested run manifests, one JSON document per file or per line."""
     return (
-        spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(root)
+        spark.read.schema(schema).option("multiLine", one_per_file).option("recursiveFileLookup", True).json(root)
         .withColumn("manifest_path", F.col("_metadata.file_path"))
     )
 

@@ -209,6 +209,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS duration_seconds",
         "CASE WHEN event_id % 7 = 0 THEN ts END AS started_at",
         "CASE WHEN event_id % 11 = 0 THEN ts END AS finished_at",
+        "map(event_type, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END, 'last', CAST(event_id AS DOUBLE)) AS metrics",
         "CAST(event_id % 4 AS INT) AS attempt_number",
         "concat('RULE_', event_id % 6) AS rule_code",
         "CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 4 END AS affected_rows",
@@ -217,3 +218,145 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "ts",
     )
+
+
+# --- ingestion and audit records --------------------------------------------
+
+_SERVICE = "element_at(array('yellow', 'green', 'fhv', 'fhvhv'), CAST(1 + {0} % 4 AS INT))"
+
+
+def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entry per service and month of the order lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    counted = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
+        f"{_SERVICE.format('l_orderkey')} AS service", "year(o_orderdate) AS year", "month(o_orderdate) AS month",
+        "o_orderdate",
+    ).groupBy("service", "year", "month").agg(F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("ingested_at"))
+    return counted.selectExpr(
+        "*", "sha2(concat_ws('|', service, year, month, rows), 256) AS sha256",
+        "CASE WHEN month % 5 = 0 THEN 'FAILED' ELSE 'READY' END AS status", "month % 7 <> 0 AS outputs_exist",
+    )
+
+
+def probe_results(registry: DataFrame) -> DataFrame:
+    """Two probes of every file."""
+    twice = registry.selectExpr("service", "year", "month", "rows", "ingested_at", "explode(array(1, 2)) AS k")
+    code = "CASE (month + k * year) % 6 WHEN 0 THEN 404 WHEN 1 THEN 503 WHEN 2 THEN 410 ELSE 200 END"
+    return twice.selectExpr(
+        "service", "year", "month", f"{code} AS status_code", f"{code} = 200 AS available",
+        "(rows + k) % 11 = 0 AS probe_failed", "ingested_at + INTERVAL '1' HOUR * k AS checked_at",
+    )
+
+
+def incoming_files(registry: DataFrame) -> DataFrame:
+    """Files offered again; every fourth month with new content."""
+    return registry.selectExpr(
+        "service", "year", "month",
+        "CASE WHEN month % 4 = 0 THEN sha2(concat(sha256, 'new'), 256) ELSE sha256 END AS sha256",
+    )
+
+
+def period_scopes(registry: DataFrame) -> DataFrame:
+    """Scope of each service: from its third month on record to its last."""
+    return registry.groupBy("service").agg(
+        F.expr("CAST(min(year * 100 + month) AS INT)").alias("available_from"),
+        F.expr("CAST(min(year * 100 + month) + 2 AS INT)").alias("scope_from"),
+        F.expr("CAST(max(year * 100 + month) AS INT)").alias("scope_to"),
+        F.min("year").alias("first_year"), F.max("year").alias("last_year"),
+    )
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_log(spark, sf_dir).selectExpr("*", f"{_SERVICE.format('user_id')} AS service", "1 + user_id % 12 AS m")
+
+
+def download_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "event_id", "execution_id", "'bronze' AS layer", "service", "2024 AS year", "m AS month",
+        "CAST(event_id % 4 + 1 AS INT) AS attempt_number",
+        "CASE event_type WHEN 'view' THEN 'SUCCESS' WHEN 'error' THEN 'EXHAUSTED' ELSE 'RETRY' END AS outcome",
+        "CASE event_type WHEN 'view' THEN 'SUCCESS' WHEN 'error' THEN 'EXHAUSTED' ELSE 'RETRY' END AS status",
+        "duration_seconds", "value * 1000 AS bytes_downloaded", "ts AS attempted_at",
+    )
+
+
+def legacy_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "event_id", "execution_id", "service", "rule_code", "affected_rows", "ts AS recorded_at",
+        "CASE WHEN event_id % 3 = 0 THEN 'ERROR' ELSE 'WARNING' END AS severity",
+    )
+
+
+def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "event_id", "concat('q-', event_id % 997) AS quality_id", "execution_id", "layer",
+        "concat(service, '_trips') AS dataset_name", "rule_code", "status", "ts AS checked_at",
+        "CAST(affected_rows AS DOUBLE) AS failed_rows",
+        "map('service', service, 'year', '2024', 'month', CAST(m AS STRING)) AS context",
+    )
+
+
+def dataset_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "event_id", "execution_id", "layer", "concat(service, '_trips') AS dataset_name", "status", "ts AS recorded_at",
+        "event_id % 9 AS parquet_files", "value AS bytes_on_disk",
+    )
+
+
+def coverage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr("event_id", "execution_id", "layer", "ts AS checked_at", "event_id % 4 AS missing_count")
+
+
+def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "execution_id",
+        "element_at(array('READY', 'FAILED', 'SKIPPED_UNCHANGED', 'READY'), CAST(1 + event_id % 4 AS INT)) AS status",
+        "CAST(event_id % 3 AS INT) AS attempt_count", "event_id % 1000 AS rows_read", "value * 1000 AS bytes_downloaded",
+        "CASE WHEN event_id % 50 = 0 THEN NULL ELSE value END AS duration_seconds",
+    )
+
+
+def stage_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(
+        "event_id AS attempt_id", "execution_id", "layer", "event_type AS stage", "concat('s', event_id % 3) AS subject",
+        "ts AS started_at",
+    )
+
+
+def stage_finishes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).filter("event_id % 4 <> 0").selectExpr(
+        "event_id AS attempt_id", "ts + INTERVAL '1' SECOND * CAST(floor(value) AS INT) AS finished_at", "status",
+    )
+
+
+MANIFEST_DDL = (
+    "summary struct<execution_id: string, run_id: string, layer: string, status: string, started_at: timestamp_ntz, "
+    "finished_at: timestamp_ntz, duration_seconds: double, source_files: bigint, processed_files: bigint, "
+    "ready_files: bigint, failed_files: bigint, datasets_built: bigint, failed_datasets: bigint, trained_models: bigint, "
+    "failed_models: bigint, rows_read: bigint, error_rate: double>, "
+    "files array<struct<file_name: string, status: string, error_type: string, error_message: string>>"
+)
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested run manifest per event; each layer fills its own counters."""
+    def only(layer: str, value: str) -> str:
+        return f"CASE WHEN user_id % 4 = {layer} THEN {value} END"
+
+    return _events(spark, sf_dir).selectExpr(
+        "named_struct('execution_id', CASE WHEN event_id % 2 = 0 THEN concat('m-', event_id) END, "
+        "'run_id', concat('r-', event_id), "
+        "'layer', element_at(array('bronze', 'silver', 'gold', 'ml'), CAST(1 + user_id % 4 AS INT)), 'status', status, "
+        "'started_at', ts, 'finished_at', ts + INTERVAL '1' SECOND * (event_id % 90), "
+        "'duration_seconds', CASE WHEN event_id % 3 = 0 THEN value END, "
+        f"'source_files', {only('0', 'event_id % 10')}, 'processed_files', {only('1', 'event_id % 9')}, "
+        f"'ready_files', {only('0', 'event_id % 9')}, 'failed_files', CASE WHEN user_id % 4 < 2 THEN event_id % 4 END, "
+        f"'datasets_built', {only('2', 'event_id % 30')}, 'failed_datasets', {only('2', 'event_id % 5')}, "
+        f"'trained_models', {only('3', 'event_id % 4')}, 'failed_models', {only('3', 'event_id % 3')}, "
+        "'rows_read', event_id * 10, 'error_rate', CASE WHEN event_id % 17 = 0 THEN 0.5D END) AS summary",
+        "array(named_struct('file_name', concat('f-', event_id), 'status', status, 'error_type', "
+        "CASE WHEN event_id % 6 = 0 THEN 'IOError' END, 'error_message', CAST(NULL AS STRING)), "
+        "named_struct('file_name', concat('g-', event_id), 'status', 'READY', 'error_type', CAST(NULL AS STRING), "
+        "'error_message', CASE WHEN event_id % 10 = 0 THEN 'late' END)) AS files",
+    )

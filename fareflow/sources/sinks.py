@@ -51,6 +51,9 @@ def write_split(flagged: DataFrame, root: str, keys: Sequence[str] = PERIOD) ->
     return paths
 
 
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the JSON writer would otherwise stop at milliseconds
+
+
 def append_events(df: DataFrame, root: str, event_type: str, at: Column | None = None, schema_version: int = 1) -> None:
     """Append event rows as JSON lines, one folder per layer."""
     stamped = df.withColumns({
@@ -59,7 +62,8 @@ def append_events(df: DataFrame, root: str, event_type: str, at: Column | None =
         "schema_version": F.lit(schema_version),
         "written_at": F.current_timestamp() if at is None else at,
     })
-    stamped.write.mode("append").partitionBy("layer").json(f"{root}/{event_type}")
+    writer = stamped.write.mode("append").option("timestampNTZFormat", MICROSECONDS)
+    writer.partitionBy("layer").json(f"{root}/{event_type}")
 
 
 def save_model(model, path: str) -> None:
