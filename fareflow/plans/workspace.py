@@ -95,11 +95,22 @@ class Workspace:
     def live_master(self) -> DataFrame:
         return trips.master(self.raws(), self.references())
 
+    def repeats(self, service: str, version: str) -> DataFrame:
+        raw = self.raw(service)
+        return stored(self.spark, f"repeats-{service}", version, [trips.repeated_trips(raw, service)])
+
     def master(self) -> DataFrame:
-        """Conformed trips from the written copy, partitioned so scopes prune."""
-        refs = self.references()
-        parts = (trips.service_master(self.raw(s), s, refs) for s in SERVICE_KEYS)
-        return stored(self.spark, "master", _fingerprint(self.spark, self.sf_dir), parts, ("service_type", "source_year"))
+        """Conformed trips from the written copy, partitioned so scopes prune.
+
+        Two narrow-to-wide passes per service: the first finds repeated ids from
+        the identifying columns, the second does all the rest without a shuffle
+        of its own as long as the lookups and repeats are small.
+        """
+        version, refs = _fingerprint(self.spark, self.sf_dir), self.references()
+        parts = (
+            trips.service_master(self.raw(s), s, refs, repeats=self.repeats(s, version)) for s in SERVICE_KEYS
+        )
+        return stored(self.spark, "master", version, parts, ("service_type", "source_year"))
 
     def dim_zone(self) -> DataFrame:
         return star.dim_zone(fixtures.zones(self.spark, self.sf_dir))

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 _SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",  # keeps wall-clock times as they are
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A shuffled join whose build side turns out small in every partition hashes
+    # it instead of sorting the wide side; larger ones still sort and merge.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 _SETTINGS = {
     **_SQL_SETTINGS,

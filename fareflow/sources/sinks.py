@@ -19,11 +19,11 @@ def _evened(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_partitions(df: DataFrame, path: str, keys: Sequence[str] = FACT_PARTITIONS) -> None:
-    """Replace just the partitions present in ``df``."""
-    (
-        _evened(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy").partitionBy(*keys).parquet(path)
-    )
+    """Replace just the partitions present in ``df`` (the whole table without partition columns)."""
+    writer = _evened(df, keys).write.mode("overwrite").option("compression", "snappy")
+    if keys:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+    writer.parquet(path)
 
 
 def write_fact(df: DataFrame, path: str, keys: Sequence[str] = FACT_PARTITIONS) -> None:
