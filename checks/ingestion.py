@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.audit import scratch
-from checks.blocks import BLOCKS, SERVICES, rnd
+from checks.blocks import BLOCKS, MART_BLOCKS, SERVICES, rnd
 from checks.registry import query, register
 from checks.silver import PERIOD, PERIOD_SQL, all_flagged
 from fareflow.operators import quality
-from fareflow.plans import ingestion, trips
+from fareflow.plans import ingestion, marts, trips
 from fareflow.sources import files, fixtures, sinks
 
 from fareflow.streaming.incremental import incremental_trips
@@ -415,13 +415,25 @@ def _(w):
     root = scratch(w, "stream")
     source, target = f"{root}/raw", f"{root}/trips"
     refs = w.references()
-    raw = w.raw("fhv").withColumns({"year": F.col("source_year"), "month": F.col("source_month")})
+    raw = w.raw("fhv")
 
     def accepted(df):
         return quality.accepted(trips.flagged_trips(df, "fhv", refs))
 
     for part in ("source_year <= 1998", "source_year > 1998"):
-        sinks.write_partitions(raw.filter(part), source, ["year"])
+        sinks.write_partitions(raw.filter(part), source, ["source_year"])
         incremental_trips(w.spark, source, target, f"{root}/checkpoint", accepted)
     return w.spark.read.parquet(target).groupBy("source_year").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quality_warning_count").alias("warnings"))
+
+
+@query("publish_marts", " UNION ALL ".join(
+    f"SELECT '{name}' AS mart, count(*) AS rows FROM {block}" for name, block in MART_BLOCKS.items()))
+def _(w):
+    root = scratch(w, "marts")
+    paths = marts.publish_marts(w.facts(), w.dim_zone(), root)
+    sizes = [w.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(n)) for n, p in paths.items()]
+    whole = sizes[0]
+    for size in sizes[1:]:
+        whole = whole.unionByName(size)
+    return whole

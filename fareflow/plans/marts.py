@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.sources.sinks import write_dataset
+
 
 
 @dataclass(frozen=True)
@@ -247,6 +249,27 @@ def roll_up_mart(name: str, rollup: DataFrame, dim_zone: DataFrame) -> DataFrame
     return _finish(mart, grouped, dim_zone)
 
 
+def publish_marts(facts: dict[str, DataFrame], dim_zone: DataFrame, root: str) -> dict[str, str]:
+    """Write all marts. The activity fact is scanned once for the shared pre-aggregate.
+
+    Only marts with percentiles, the OD marts and those of the smaller facts go
+    back to their fact; the rest read the far smaller pre-aggregate.
+    """
+    write_dataset(activity_rollup(facts["trip_activity"]), f"{root}/activity_rollup")
+    rollup = dim_zone.sparkSession.read.parquet(f"{root}/activity_rollup")
+    paths = {}
+    for name in MARTS:
+        if name == "route_efficiency":  # a view of the OD mart, which is written by then
+            mart = route_view(dim_zone.sparkSession.read.parquet(paths["od_routes"]))
+        elif rolls_up(name):
+            mart = roll_up_mart(name, rollup, dim_zone)
+        else:
+            mart = build_mart(name, facts, dim_zone)
+        paths[name] = f"{root}/{name}"
+        write_dataset(mart, paths[name])
+    return paths
+
+
 def route_view(od_routes: DataFrame) -> DataFrame:
     """Route efficiency is the OD mart without boroughs."""
     return od_routes.drop("pickup_borough", "dropoff_borough")

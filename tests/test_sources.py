@@ -125,14 +125,14 @@ def test_declared_partial_coverage():
 
 def test_stream_equals_batch_and_rebuilds_only_touched_periods(spark, small, folder):
     refs = small.references()
-    raw = small.raw("fhv").withColumns({"y": F.col("source_year")})
+    raw = small.raw("fhv")
     source, target = f"{folder}/raw", f"{folder}/trips"
 
     def curated(df):
         return quality.accepted(trips.flagged_trips(df, "fhv", refs))
 
     def arrive(df):
-        df.coalesce(1).write.mode("append").partitionBy("y").parquet(source)
+        df.coalesce(1).write.mode("append").partitionBy("source_year").parquet(source)
         incremental_trips(spark, source, target, f"{folder}/checkpoint", curated)
 
     # every period arrives in two files, so the second must not lose the first
