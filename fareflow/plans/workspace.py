@@ -44,6 +44,11 @@ def stored(spark: SparkSession, name: str, version: str, parts, keys=()) -> Data
     return spark.read.parquet(_STORED[slot])
 
 
+def forget_stored() -> None:
+    """Build every stage anew from here on."""
+    _STORED.clear()
+
+
 def stored_outputs(spark: SparkSession, name: str, version: str, build) -> dict[str, DataFrame]:
     """Write the named outputs of one run to the shared folder once per session and read them back."""
     slot = (spark.sparkContext.applicationId, name, version)
