@@ -8,7 +8,6 @@ from checks.blocks import BLOCKS, rnd, rounded
 from checks.registry import query, register
 from fareflow.operators.keyed import at_least_quantile, weighted_mean
 from fareflow.plans import dashboards as d
-from fareflow.plans import learning
 from fareflow.spec import SERVICE_KEYS, Scope
 
 _LABEL = """CASE service_type WHEN 'yellow' THEN 'Yellow' WHEN 'green' THEN 'Green' WHEN 'fhv' THEN 'FHV'

@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _spread(df: DataFrame, key: str) -> DataFrame:
     """A table of fewer splits than cores is dealt out by key; a large one stays as it is read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
