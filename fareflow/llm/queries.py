@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import line_dedup, packing, toxicity, url_rules
+from fareflow.llm import line_dedup, ngram_join, packing, toxicity, url_rules
 from fareflow.llm.store import table
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -79,11 +79,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, weights).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+# --- 5 n-gram Jaccard join
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # --- 10 packing
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), capacity=2048)
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op4_toxicity, op10_packing)}
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op4_toxicity, op5_ngram_jaccard_join, op10_packing)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}

@@ -59,15 +59,17 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 class Words:
     hashes: np.ndarray  # uint64 of each word
     bounds: np.ndarray  # first word of each text, and the end
+    stems: tuple[np.ndarray, ...] = ()  # uint64 of each word's first bytes; a short word's own hash
 
     def of(self, text: int) -> np.ndarray:
         return self.hashes[self.bounds[text]:self.bounds[text + 1]]
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> Words:
-    """Words of consecutive texts; ``starts`` holds their first bytes and the end."""
+def words(data: np.ndarray, starts: np.ndarray, stems: tuple[int, ...] = ()) -> Words:
+    """Words of consecutive texts; ``starts`` holds their first bytes and the end, ``stems`` lengths in bytes."""
+    nothing = np.zeros(0, np.uint64)
     if len(data) == 0:
-        return Words(np.zeros(0, np.uint64), np.zeros(len(starts), np.int64))
+        return Words(nothing, np.zeros(len(starts), np.int64), (nothing,) * len(stems))
     inside = ~IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -76,14 +78,15 @@ def words(data: np.ndarray, starts: np.ndarray) -> Words:
     at = np.flatnonzero(begins)
     bounds = np.searchsorted(at, starts).astype(np.int64)
     if len(at) == 0:
-        return Words(np.zeros(0, np.uint64), bounds)
+        return Words(nothing, bounds, (nothing,) * len(stems))
     lead = int(at[0])
     spans = np.diff(np.append(at, len(data)))
     place = np.arange(len(data) - lead, dtype=np.int64)
     place -= np.repeat(at - lead, spans)
     values = _VALUE[LOWER[data[lead:]]]
     values *= _POWERS[place & (len(_POWERS) - 1)]
-    return Words(mix(np.add.reduceat(values, at - lead)), bounds)
+    cut = tuple(mix(np.add.reduceat(np.where(place < n, values, np.uint64(0)), at - lead)) for n in stems)
+    return Words(mix(np.add.reduceat(values, at - lead)), bounds, cut)
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -1,7 +1,8 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are the distinct hashes, cut to ``bits`` bits, of its words, its pairs of neighbours and its pairs with one
-word left out (case and the marks around a word do not matter). A feature counts once however often it occurs, so a long text
+word left out (case and the marks around a word do not matter); a word also counts by its first 5 and first 7 bytes, as
+inflected languages have more forms of a word than the labelled rows show. A feature counts once however often it occurs, so a long text
 is judged as a short one is. Each coordinate has its own learning rate, and the L1 penalty keeps the weights of features
 that tell little at exactly zero: what remains is a small table that is broadcast, at most ``2^bits`` entries.
 
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from fareflow.llm import text as tx
 from fareflow.llm.store import without, written
 
+STEMS = (5, 7)
 _LETTER = np.ones(256, bool)
 _LETTER[:128] = [chr(i).isalnum() for i in range(128)]
 
@@ -35,9 +37,9 @@ _LETTER[:128] = [chr(i).isalnum() for i in range(128)]
 @dataclass(frozen=True)
 class Ftrl:
     bits: int = 20
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.5
+    l1: float = 8.0
     l2: float = 1.0
     epochs: int = 4
     max_rows: int = 40_000
@@ -49,14 +51,15 @@ def features(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     keep = np.uint64((1 << bits) - 1)
     for first, end, data, starts in tx.chunks(column):
         plain = np.where(_LETTER[data], data, np.uint8(32))  # marks part words
-        found = tx.words(plain, starts)
+        found = tx.words(plain, starts, STEMS)
         h = found.hashes
         pairs = tx.mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
         skips = tx.mix(h[:-2] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:])
-        one, two, three = ((x & keep).astype(np.int32) for x in (h, pairs, skips))
+        one, two, three, *stems = ((x & keep).astype(np.int32) for x in (h, pairs, skips, *found.stems))
         for i in range(end - first):
             a, b = int(found.bounds[i]), int(found.bounds[i + 1])
-            yield first + i, np.concatenate([one[a:b], two[a:max(a, b - 1)], three[a:max(a, b - 2)]])
+            yield first + i, np.concatenate(
+                [one[a:b], two[a:max(a, b - 1)], three[a:max(a, b - 2)], *(s[a:b] for s in stems)])
 
 
 def fit_rows(rows: list[np.ndarray], labels: np.ndarray, model: Ftrl) -> np.ndarray:
