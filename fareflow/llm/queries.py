@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import line_dedup, ngram_join, packing, toxicity, url_rules
+from fareflow.llm import decontaminate, fingerprints, line_dedup, ngram_join, packing, toxicity, url_rules
 from fareflow.llm.store import table
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -66,6 +66,13 @@ FROM urls u LEFT JOIN fits f ON u.page_id = f.page_id AND f.k = 1
 """
 
 
+# --- 3 benchmark decontamination
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 # --- 4 toxicity
 
 def toxicity_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -85,11 +92,24 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# --- 8 document fingerprints
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.edited_by_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, changed, after = F.col("own"), F.col("changed"), F.col("next_own")
+    return out.select(
+        "doc_id", "n_chars", sha256(F.col("edited")).alias("edited_sha256"), fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(changed).alias("edited_fingerprint"), fingerprints.likeness(own, changed).alias("near_edited"),
+        fingerprints.likeness(own, after).alias("near_next"), fingerprints.containment(own, changed).alias("held_edited"),
+        fingerprints.containment(own, after).alias("held_next"))
+
+
 # --- 10 packing
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), capacity=2048)
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op4_toxicity, op5_ngram_jaccard_join, op10_packing)}
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op3_benchmark_decontamination, op4_toxicity,
+                                    op5_ngram_jaccard_join, op8_document_fingerprints, op10_packing)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}
