@@ -49,8 +49,10 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     """(id, pos, key, n_windows) of (id, words)."""
     hashed = texts.withColumn(
         "h", F.transform("words", lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))).select("id", "h")
-    cut = native.with_windows(hashed, "h", "w", window).select("id", "w")
-    return cut.select("id", F.size("w").alias("n_windows"), F.posexplode("w").alias("pos", "key"))
+    cut = native.with_windows(hashed, "h", "w", window).select("id", F.size("h").alias("n_words"), "w")
+    # The inner form would have Catalyst filter on the array's size below it, and compute the windows there once more.
+    return (cut.select("id", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "key"))
+            .filter("key is not null"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, share: float = 0.5, doc: str = "doc_id",
