@@ -9,8 +9,8 @@ compare up to the smaller reach.
 Words are runs outside ``[\\x20\\x09-\\x0D]``, lower-cased; fewer than five are one shingle.
 
 Defined cases. Null and empty texts have an empty fingerprint; two empty ones are alike (1), an empty and another one are not (0).
-Equal texts have equal fingerprints. In ``edited_by_next`` the order is that of distinct ids; of rows that repeat an id the smallest
-text stands for it, and each row is fingerprinted. Rows without id have no next document: the second half goes and nothing follows.
+Equal texts have equal fingerprints. In ``edited_by_next`` the order is that of distinct ids; of rows that repeat an id one,
+picked by its text's hash, stands for it, and each row is fingerprinted. Rows without id have no next document: the second half goes and nothing follows.
 Columns other than id and text are not read. An empty table gives an empty result.
 """
 
@@ -102,12 +102,16 @@ def edited_by_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     """doc_id, n_chars, edited, own, changed and next_own: each text whose last floor(n/2) code points are replaced by as many
     first ones of the next document in descending id, with the fingerprints of the text, the edited text and the next text."""
     docs = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    order = written(following(docs.withColumn("n_chars", F.length("text").cast("long"))), "order")
-    sent = docs.join(order, "doc_id").select("before", "text", F.floor(F.col("n_before") / 2).cast("int").alias("half"))
+    known = docs.filter("doc_id is not null")
+    order = written(following(known.withColumn("n_chars", F.length("text").cast("long"))), "order")
+    # Both joins read the texts dealt by id, so Spark deals them once.
+    sent = known.join(order, "doc_id").select("before", "text", F.floor(F.col("n_before") / 2).cast("int").alias("half"))
     sent = (with_fingerprint(sent, "text", "next_own").withColumn("head", F.expr("substring(text, 1, half)"))
-            .groupBy("before").agg(F.min_by(F.struct("head", "next_own"), "text").alias("next")))
+            .groupBy("before").agg(F.min_by(F.struct("head", "next_own"), F.xxhash64("text")).alias("next")))
     half = F.floor(F.length("text") / 2).cast("int")
-    both = docs.join(sent, F.col("doc_id") == F.col("before"), "left").withColumn("edited", F.concat(
+    both = known.join(sent, F.col("doc_id") == F.col("before"), "left").select("doc_id", "text", "next")
+    both = both.unionByName(docs.filter("doc_id is null").withColumn("next", F.lit(None).cast(sent.schema["next"].dataType)))
+    both = both.withColumn("edited", F.concat(
         F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
         F.coalesce(F.substring(F.col("next.head"), F.lit(1), half), F.lit(""))))
     both = with_fingerprint(with_fingerprint(both, "text", "own"), "edited", "changed")
