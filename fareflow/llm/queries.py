@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, fingerprints, line_dedup, ngram_join, packing, toxicity, url_rules
+from fareflow.llm import decontaminate, fingerprints, line_dedup, ngram_join, packing, secrets, toxicity, url_rules
 from fareflow.llm.store import table
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -104,6 +104,17 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.containment(own, after).alias("held_next"))
 
 
+# --- 9 secret scan
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    known = F.col("known")
+    return out.select(
+        "doc_id", secrets.count_of(known, 0).alias("n_assign"), secrets.count_of(known, 1).alias("n_access"),
+        secrets.count_of(known, 2).alias("n_hex"), sha256(secrets.as_text(known)).alias("base_sha256"),
+        secrets.as_text(F.concat("known", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 # --- 10 packing
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,5 +122,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op3_benchmark_decontamination, op4_toxicity,
-                                    op5_ngram_jaccard_join, op8_document_fingerprints, op10_packing)}
+                                    op5_ngram_jaccard_join, op8_document_fingerprints, op9_secret_scan,
+                                    op10_packing)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}
