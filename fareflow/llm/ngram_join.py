@@ -96,14 +96,17 @@ def frequent_tokens(docs: DataFrame, rule: Likeness) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFrame:
-    """(doc_id, cls, n, n_rare, prefix) of each document; the prefix only for the first of a class that a task meets."""
+    """(doc_id, cls, n, n_rare, reach, prefix) of each document; the prefix only for the first of a class that a task meets.
+
+    All rare tokens up to ``reach`` are in the prefix.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = tx.HashTable(sent.value, np.arange(len(sent.value), dtype=np.int64))
         seen: set[int] = set()
         for batch in batches:
-            kinds, sizes, rares, prefixes = [], [], [], []
+            kinds, sizes, rares, reaches, prefixes = [], [], [], [], []
             for _, tokens in token_sets(batch.column(1), rule.words):
                 kind, n = _class(tokens), len(tokens)
                 kinds.append(kind)
@@ -112,66 +115,114 @@ def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFra
                 rares.append(n - int(hit.sum()))
                 if n == 0 or kind in seen:
                     prefixes.append(None)
+                    reaches.append(None)
                     continue
                 if len(seen) >= SEEN_LIMIT:
                     seen.clear()
                 seen.add(kind)
                 p = rule.prefix(n)
                 first = tokens[~hit][:p]
+                reaches.append((1 << 63) - 1 if len(first) < p else int(first[-1:].view(np.int64)[0]))
                 if len(first) < p:
                     often = tokens[hit]
                     first = np.concatenate([first, often[np.argsort(rank.values[at[hit]])][:p - len(first)]])
                 prefixes.append(first.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(kinds, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rares, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "cls", "n", "n_rare", "prefix"])
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, cls long, n long, n_rare long, prefix array<long>")
+                 pa.array(reaches, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "cls", "n", "n_rare", "reach", "prefix"])
+    return docs.select("doc_id", "text").mapInArrow(
+        sign, "doc_id long, cls long, n long, n_rare long, reach long, prefix array<long>")
 
 
 def shared_tokens(signed: DataFrame) -> DataFrame:
-    """(token, cls, n, n_rare, pos, df) of prefix tokens more than one row has; frequent ones always."""
-    rows = signed.filter("prefix is not null").select("cls", "n", "n_rare", F.posexplode("prefix").alias("pos", "token"))
-    rare = rows.filter("pos < n_rare").groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    return (rows.filter("pos < n_rare").join(rare, "token")
-            .unionByName(rows.filter("pos >= n_rare").withColumn("df", F.lit(0).cast("long")))
-            .select("token", "cls", "n", "n_rare", "pos", "df").dropDuplicates(["cls", "token"]))
+    """(token, cls, n, n_rare, reach, pos, df) of prefix tokens more than one row has; frequent ones always.
+
+    Tokens are counted first; a Bloom filter of those that are shared then keeps the others from travelling once more.
+    """
+    rows = signed.filter("prefix is not null")
+    counts = rows.select("n_rare", F.posexplode("prefix").alias("pos", "token")).filter("pos < n_rare").groupBy("token").agg(
+        F.count("*").alias("df")).filter("df > 1")
+    counts = written(counts, "shared-counts")
+    carried = signed.sparkSession.sparkContext.broadcast(needed_filter(counts.select(F.col("token").alias("h"))))
+    names = ["cls", "n", "n_rare", "reach", "pos", "token"]
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            lengths = np.diff(prefix.offsets.to_numpy())
+            tokens = prefix.flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            rare = batch.column("n_rare").to_numpy()[row] > pos
+            at = np.flatnonzero(~rare | may_hold(carried.value, tokens.view(np.uint64)))
+            if len(at):
+                fixed = [pa.array(batch.column(c).to_numpy()[row[at]]) for c in names[:4]]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(pos[at]), pa.array(tokens[at])], names=names)
+
+    picked = rows.select("cls", "n", "n_rare", "reach", "prefix").mapInArrow(
+        pick, "cls long, n long, n_rare long, reach long, pos long, token long")
+    return (picked.filter("pos < n_rare").join(counts, "token")
+            .unionByName(picked.filter("pos >= n_rare").withColumn("df", F.lit(0).cast("long")))
+            .select("token", "cls", "n", "n_rare", "reach", "pos", "df").dropDuplicates(["cls", "token"]))
 
 
 def groups(shared: DataFrame, rule: Likeness) -> DataFrame:
-    """(gid, cls, n, n_rare, members, lo, hi, n_blocks, block): the group of each class, its size bounds and blocks."""
+    """(gid, cls, n, n_rare, lo, hi, reach): the group of each class, with the bounds of its members' sizes and the least reach."""
     spread = F.pmod(F.xxhash64("token"), F.lit(1 << 20))
     weight = F.when(F.col("pos") >= F.col("n_rare"), F.lit(1 << 61) - F.col("pos") * (1 << 20) + spread).otherwise(
         F.least(F.col("df"), F.lit(1 << 39)) * (1 << 20) + spread)
     bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(rule.below / rule.above))
-    own = (shared.withColumn("weight", weight).groupBy("cls", "n", "n_rare").agg(F.max_by("token", "weight").alias("key"))
+    own = (shared.withColumn("weight", weight).groupBy("cls", "n", "n_rare", "reach").agg(F.max_by("token", "weight").alias("key"))
            .withColumn("gid", F.xxhash64("key", bucket)).drop("key"))
-    stats = own.groupBy("gid").agg(F.count("*").alias("members"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    n_blocks = F.ceil(F.col("members") / rule.block)
-    return own.join(stats, "gid").withColumn("n_blocks", n_blocks.cast("long")).withColumn(
-        "block", F.pmod(F.xxhash64("cls"), F.col("n_blocks")))
-
-
-def leaders(grouped: DataFrame, slots: int = 8) -> DataFrame:
-    """(gid, cls, n, n_blocks): of each group with several blocks, in each of ``slots`` parts the member with fewest rare tokens."""
-    share = F.col("n_rare") / F.col("n")
-    order = F.floor((1 - share) * (1 << 20)) * (1 << 20) + F.pmod(F.xxhash64("cls", F.lit(3)), F.lit(1 << 20))
-    best = (grouped.filter("n_blocks > 1").withColumn("slot", F.pmod(F.xxhash64("cls", F.lit(5)), F.lit(slots)))
-            .withColumn("order", order).groupBy("gid", "slot", "n_blocks").agg(F.max_by(F.struct("cls", "n"), "order").alias("best")))
-    return best.select("gid", F.col("best.cls").alias("cls"), F.col("best.n").alias("n"), "n_blocks")
+    stats = own.groupBy("gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("reach").alias("least"))
+    return own.drop("reach").join(stats, "gid").withColumnRenamed("least", "reach")
 
 
 def candidates(shared: DataFrame, grouped: DataFrame, rule: Likeness) -> DataFrame:
-    """(cls, n, own, own_blocks, gid, n_blocks): classes that may have a link into another group, by the token-group matrix."""
-    rows = shared.select("token", "cls", "n", "pos").join(grouped.select("cls", "gid", "n_blocks"), "cls")
-    matrix = rows.groupBy("token", "gid", "n_blocks").agg(
-        F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    query = rows.select("token", "cls", "n", "pos", F.col("gid").alias("own"), F.col("n_blocks").alias("own_blocks"))
+    """(cls, n, own, gid): which group a class may have a link into, by the token-group matrix; its own group included.
+
+    A matrix row says that a group has a token in its members' prefixes. Tokens a query has before the last one it shares with
+    the group, all rare and within the reach of every member, but has not in common with the group, are in no member
+    at all: they bound the overlap. For the own group only tokens of two members count.
+    """
     a, b = rule.above, rule.below
-    smallest = F.greatest(F.col("lo") * b, F.col("n") * a)  # times below
+    rows = shared.select("token", "cls", "n", "n_rare", "pos").join(grouped.select("cls", "gid", "lo", "hi", "reach"), "cls")
+    matrix = rows.groupBy("token", "gid").agg(F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("least"),
+                                              F.count("*").alias("holders"), F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+                                              F.first("reach").alias("reach"))
+    query = rows.select("token", "cls", "n", "n_rare", "pos", F.col("gid").alias("own"))
+
+    def fits(overlap, smallest):  # (a + b) * overlap >= a * (n + size), the size being at least smallest and a / b of n
+        return overlap * (a + b) * b >= (F.col("n") * b + F.greatest(smallest * b, F.col("n") * a)) * a
+
+    within = (F.col("pos") < F.col("n_rare")) & (F.col("token") <= F.col("reach"))
     met = query.join(matrix, "token").filter(
-        (F.col("own") != F.col("gid")) & (F.col("hi") * b >= F.col("n") * a) & (F.col("n") * b >= F.col("lo") * a)
-        & (F.least(F.col("n") - F.col("pos"), F.col("rest")) * (a + b) * b >= (F.col("n") * b + smallest) * a))
-    return met.select("cls", "n", "own", "own_blocks", "gid", "n_blocks").distinct()
+        ((F.col("own") != F.col("gid")) | (F.col("holders") > 1))
+        & (F.col("hi") * b >= F.col("n") * a) & (F.col("n") * b >= F.col("lo") * a))
+    met = met.groupBy("cls", "n", "own", "gid", "lo").agg(
+        F.max(fits(F.least(F.col("n") - F.col("pos"), F.col("rest")), F.col("least"))).alias("starts"),
+        F.sum(within.cast("long")).alias("common"), F.max(F.when(within, F.col("pos") + 1).otherwise(0)).alias("looked_at"))
+    return (met.filter("starts").filter(fits(F.col("n") - F.col("looked_at") + F.col("common"), F.col("lo")))
+            .select("cls", "n", "own", "gid"))
+
+
+def placed_in_blocks(grouped: DataFrame, met: DataFrame, rule: Likeness) -> DataFrame:
+    """(gid, cls, n, n_rare, members, n_blocks, block) of the classes that may have a link."""
+    live = grouped.join(met.select("cls").distinct(), "cls", "left_semi").select("gid", "cls", "n", "n_rare")
+    stats = live.groupBy("gid").agg(F.count("*").alias("members"))
+    n_blocks = F.ceil(F.col("members") / rule.block).cast("long")
+    return live.join(stats, "gid").withColumn("n_blocks", n_blocks).withColumn(
+        "block", F.pmod(F.xxhash64("cls"), F.col("n_blocks")))
+
+
+def leaders(placed: DataFrame, slots: int = 8) -> DataFrame:
+    """(gid, cls, n_blocks): of each group with several blocks, in each of ``slots`` parts the member with fewest rare tokens."""
+    share = F.col("n_rare") / F.col("n")
+    order = F.floor((1 - share) * (1 << 20)) * (1 << 20) + F.pmod(F.xxhash64("cls", F.lit(3)), F.lit(1 << 20))
+    return (placed.filter("n_blocks > 1").withColumn("slot", F.pmod(F.xxhash64("cls", F.lit(5)), F.lit(slots)))
+            .withColumn("order", order).groupBy("gid", "slot", "n_blocks").agg(F.max_by("cls", "order").alias("cls"))
+            .select("gid", "cls", "n_blocks"))
 
 
 BLOOM_SHIFTS = (0, 11, 22, 37)
@@ -331,24 +382,27 @@ def links(docs: DataFrame, signed: DataFrame, rule: Likeness) -> DataFrame:
     """(node, root) of all classes that have a link to another one."""
     shared = written(shared_tokens(signed), "shared")
     grouped = written(groups(shared, rule), "groups")
-    lead = written(leaders(grouped), "leaders")
     met = written(candidates(shared, grouped, rule), "candidates")
+    placed = written(placed_in_blocks(grouped, met, rule), "blocks")
+    lead = written(leaders(placed), "leaders")
+    counts = placed.select("gid", "n_blocks").distinct()
+    met = (met.filter("own != gid").join(counts, "gid")
+           .join(counts.select(F.col("gid").alias("own"), F.col("n_blocks").alias("own_blocks")), "own"))
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block")
 
     # First round: each block with its leaders, and queries of other groups.
-    aimed = met.select("gid").distinct()
-    alive = grouped.filter("members > 1").select("gid").distinct().unionByName(aimed).distinct()
-    members = (grouped.join(alive, "gid", "left_semi").select("gid", "block", "cls")
-               .unionByName(lead.select("gid", blocks, "cls")).distinct().withColumn("role", F.lit(0)))
     queries = (met.filter("n_blocks > 1 or own_blocks > 1 or own < gid").filter("n_blocks = 1 or own_blocks > 1")
                .select("gid", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).alias("block"), "cls").withColumn("role", F.lit(1)))
+    alive = placed.filter("members > 1").select("gid").unionByName(queries.select("gid")).distinct()
+    members = (placed.join(alive, "gid", "left_semi").select("gid", "block", "cls")
+               .unionByName(lead.select("gid", blocks, "cls")).distinct().withColumn("role", F.lit(0)))
     rows = members.unionByName(queries)
     tokens = token_rows(docs, signed, rows.select("cls").distinct(), rule)
     first = open_groups(rows.join(tokens, "cls").withColumn("root", F.col("cls")), rule, inside=True)
     labels = components(first)
 
     # Second round: what did not join its group's main part visits the group's other blocks.
-    large = grouped.filter("n_blocks > 1")
+    large = placed.filter("n_blocks > 1")
     if large.isEmpty():
         return labels
     labels = written(labels, "labels")

@@ -102,12 +102,13 @@ def runs(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct shingles of a text; with fewer words than ``size``, the whole text as one; empty without words."""
+    """Distinct shingles of a text in the order of signed longs; with fewer words than ``size``, the whole text as one;
+    empty without words."""
     if len(hashes) == 0:
         return hashes
     if len(hashes) < size:
         return runs(hashes, len(hashes)) ^ np.uint64(len(hashes))
-    return np.unique(runs(hashes, size))
+    return np.unique(runs(hashes, size).view(np.int64)).view(np.uint64)
 
 
 class HashTable:
