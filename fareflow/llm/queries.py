@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, secrets, toxicity, url_rules
+from fareflow.llm import decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, secrets, suffix_tree, toxicity, url_rules
 from fareflow.llm.store import table
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -98,6 +98,14 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+# --- 7 language-model scores
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_tree.scores(table(spark, sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 7) != 2)
+    return out.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                      "score")
+
+
 # --- 8 document fingerprints
 
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +136,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op3_benchmark_decontamination, op4_toxicity,
-                                    op5_ngram_jaccard_join, op6_html_extraction, op8_document_fingerprints, op9_secret_scan,
+                                    op5_ngram_jaccard_join, op6_html_extraction, op7_lm_scoring, op8_document_fingerprints, op9_secret_scan,
                                     op10_packing)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}

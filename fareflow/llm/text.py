@@ -112,37 +112,37 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 class HashTable:
-    """uint64 keys to values by linear probing, as plain arrays that broadcast well."""
+    """uint64 keys to values by linear probing, as plain arrays that broadcast well; a key of zero counts as one."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 2.5))))
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.zeros(1 << bits, np.uint64)
         self.values = np.zeros(1 << bits, values.dtype)
-        full = np.zeros(1 << bits, bool)
+        keys = np.maximum(keys, np.uint64(1))
         left, at = np.arange(len(keys)), self._home(keys)
         while len(left):
-            free = ~full[at]
+            free = self.keys[at] == 0
             place, who = np.unique(at[free], return_index=True)
             took = left[free][who]
-            self.keys[place], self.values[place], full[place] = keys[took], values[took], True
+            self.keys[place], self.values[place] = keys[took], values[took]
             stay = np.ones(len(left), bool)
             stay[np.flatnonzero(free)[who]] = False
             left, at = left[stay], (at[stay] + 1) & self.mask
-        self.full = full
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
+        return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).view(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each key is, and whether it is there."""
         at = self._home(keys)
-        hit = (self.keys[at] == keys) & self.full[at]
-        open_ = np.flatnonzero(~hit & self.full[at])
+        there = self.keys[at]
+        hit = there == keys
+        open_ = np.flatnonzero(~hit & (there != 0))
         while len(open_):
             at[open_] = (at[open_] + 1) & self.mask
-            here = at[open_]
-            same = (self.keys[here] == keys[open_]) & self.full[here]
+            there = self.keys[at[open_]]
+            same = there == keys[open_]
             hit[open_[same]] = True
-            open_ = open_[~same & self.full[here]]
+            open_ = open_[~same & (there != 0)]
         return at, hit
