@@ -49,7 +49,7 @@ SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
 TESTED = "array<struct<start:bigint,end:bigint,grade:int,bin:int>>"
 
 
-def running(lengths: Column, block: int = 256) -> Column:
+def running(lengths, block: int = 256) -> Column:
     """Sum of the values before each one, in blocks so that long arrays stay cheap."""
     def add(sums: Column, value: Column) -> Column:
         return F.concat(sums, F.array(F.element_at(sums, -1) + value))
