@@ -101,16 +101,20 @@ def following(docs: DataFrame) -> DataFrame:
 def edited_by_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited, own, changed and next_own: each text whose last floor(n/2) code points are replaced by as many
     first ones of the next document in descending id, with the fingerprints of the text, the edited text and the next text."""
-    docs = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    known = docs.filter("doc_id is not null")
-    order = written(following(known.withColumn("n_chars", F.length("text").cast("long"))), "order")
-    # Both joins read the texts dealt by id, so Spark deals them once.
-    sent = known.join(order, "doc_id").select("before", "text", F.floor(F.col("n_before") / 2).cast("int").alias("half"))
+    # A name of its own: Catalyst drops an alias to the same name on one side of a self-join only, and the two sides'
+    # exchanges would then not be seen to be the same.
+    docs = docs.select(F.col(f"`{doc}`").cast("long").alias("own_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    known = docs.filter("own_id is not null")
+    lengths = known.select(F.col("own_id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"))
+    order = written(following(lengths), "order")
+    sent = known.join(order, F.col("own_id") == F.col("doc_id")).select(
+        "before", "text", F.floor(F.col("n_before") / 2).cast("int").alias("half"))
     sent = (with_fingerprint(sent, "text", "next_own").withColumn("head", F.expr("substring(text, 1, half)"))
             .groupBy("before").agg(F.min_by(F.struct("head", "next_own"), F.xxhash64("text")).alias("next")))
     half = F.floor(F.length("text") / 2).cast("int")
-    both = known.join(sent, F.col("doc_id") == F.col("before"), "left").select("doc_id", "text", "next")
-    both = both.unionByName(docs.filter("doc_id is null").withColumn("next", F.lit(None).cast(sent.schema["next"].dataType)))
+    both = known.join(sent, F.col("own_id") == F.col("before"), "left").select("own_id", "text", "next")
+    both = both.unionByName(docs.filter("own_id is null").withColumn("next", F.lit(None).cast(sent.schema["next"].dataType)))
+    both = both.withColumnRenamed("own_id", "doc_id")
     both = both.withColumn("edited", F.concat(
         F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
         F.coalesce(F.substring(F.col("next.head"), F.lit(1), half), F.lit(""))))
