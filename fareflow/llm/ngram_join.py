@@ -45,6 +45,8 @@ FREQUENT_IN_SAMPLE = 4
 FREQUENT_LIMIT = 1 << 19
 BLOOM_WORDS = 1 << 21
 SEEN_LIMIT = 1 << 18
+CUTS = 16
+SIZE_STEP = 1.15
 
 
 @dataclass(frozen=True)
@@ -96,9 +98,10 @@ def frequent_tokens(docs: DataFrame, rule: Likeness) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFrame:
-    """(doc_id, cls, n, n_rare, reach, prefix) of each document; the prefix only for the first of a class that a task meets.
+    """(doc_id, cls, n, n_rare, reach, step, cuts, prefix) of each document; the last ones only for the first of a class
+    that a task meets.
 
-    All rare tokens up to ``reach`` are in the prefix.
+    All rare tokens up to ``reach`` are in the prefix; ``cuts`` are every ``step``-th of its rare tokens.
     """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -106,7 +109,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFra
         rank = tx.HashTable(sent.value, np.arange(len(sent.value), dtype=np.int64))
         seen: set[int] = set()
         for batch in batches:
-            kinds, sizes, rares, reaches, prefixes = [], [], [], [], []
+            kinds, sizes, rares, reaches, steps, cuts, prefixes = [], [], [], [], [], [], []
             for _, tokens in token_sets(batch.column(1), rule.words):
                 kind, n = _class(tokens), len(tokens)
                 kinds.append(kind)
@@ -114,8 +117,8 @@ def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFra
                 at, hit = rank.find(tokens)
                 rares.append(n - int(hit.sum()))
                 if n == 0 or kind in seen:
-                    prefixes.append(None)
-                    reaches.append(None)
+                    for column in (prefixes, reaches, steps, cuts):
+                        column.append(None)
                     continue
                 if len(seen) >= SEEN_LIMIT:
                     seen.clear()
@@ -123,16 +126,19 @@ def signatures(docs: DataFrame, frequent: np.ndarray, rule: Likeness) -> DataFra
                 p = rule.prefix(n)
                 first = tokens[~hit][:p]
                 reaches.append((1 << 63) - 1 if len(first) < p else int(first[-1:].view(np.int64)[0]))
+                steps.append(max(1, len(first) // CUTS))
+                cuts.append(first[steps[-1] - 1::steps[-1]].view(np.int64))
                 if len(first) < p:
                     often = tokens[hit]
                     first = np.concatenate([first, often[np.argsort(rank.values[at[hit]])][:p - len(first)]])
                 prefixes.append(first.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(kinds, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rares, pa.int64()),
-                 pa.array(reaches, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "cls", "n", "n_rare", "reach", "prefix"])
+                 pa.array(reaches, pa.int64()), pa.array(steps, pa.int32()), pa.array(cuts, pa.list_(pa.int64())),
+                 pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "cls", "n", "n_rare", "reach", "step", "cuts", "prefix"])
     return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, cls long, n long, n_rare long, reach long, prefix array<long>")
+        sign, "doc_id long, cls long, n long, n_rare long, reach long, step int, cuts array<long>, prefix array<long>")
 
 
 def shared_tokens(signed: DataFrame) -> DataFrame:
@@ -167,24 +173,24 @@ def shared_tokens(signed: DataFrame) -> DataFrame:
             .select("token", "cls", "n", "n_rare", "reach", "pos", "df").dropDuplicates(["cls", "token"]))
 
 
-def groups(shared: DataFrame, rule: Likeness) -> DataFrame:
+def groups(shared: DataFrame) -> DataFrame:
     """(gid, cls, n, n_rare, lo, hi, reach): the group of each class, with the bounds of its members' sizes and the least reach."""
     spread = F.pmod(F.xxhash64("token"), F.lit(1 << 20))
     weight = F.when(F.col("pos") >= F.col("n_rare"), F.lit(1 << 61) - F.col("pos") * (1 << 20) + spread).otherwise(
         F.least(F.col("df"), F.lit(1 << 39)) * (1 << 20) + spread)
-    bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(rule.below / rule.above))
+    bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(SIZE_STEP))
     own = (shared.withColumn("weight", weight).groupBy("cls", "n", "n_rare", "reach").agg(F.max_by("token", "weight").alias("key"))
            .withColumn("gid", F.xxhash64("key", bucket)).drop("key"))
     stats = own.groupBy("gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("reach").alias("least"))
     return own.drop("reach").join(stats, "gid").withColumnRenamed("least", "reach")
 
 
-def candidates(shared: DataFrame, grouped: DataFrame, rule: Likeness) -> DataFrame:
+def candidates(signed: DataFrame, shared: DataFrame, grouped: DataFrame, rule: Likeness) -> DataFrame:
     """(cls, n, own, gid): which group a class may have a link into, by the token-group matrix; its own group included.
 
-    A matrix row says that a group has a token in its members' prefixes. Tokens a query has before the last one it shares with
-    the group, all rare and within the reach of every member, but has not in common with the group, are in no member
-    at all: they bound the overlap. For the own group only tokens of two members count.
+    A matrix row says that a group has a token in its members' prefixes. Rare tokens that a query has within the reach of every
+    member, but not in common with the group, are in no member at all: they bound the overlap. For the own group only tokens
+    of two members count. As a link goes both ways, a class meets another group only if some member of that one meets its own.
     """
     a, b = rule.above, rule.below
     rows = shared.select("token", "cls", "n", "n_rare", "pos").join(grouped.select("cls", "gid", "lo", "hi", "reach"), "cls")
@@ -200,11 +206,16 @@ def candidates(shared: DataFrame, grouped: DataFrame, rule: Likeness) -> DataFra
     met = query.join(matrix, "token").filter(
         ((F.col("own") != F.col("gid")) | (F.col("holders") > 1))
         & (F.col("hi") * b >= F.col("n") * a) & (F.col("n") * b >= F.col("lo") * a))
-    met = met.groupBy("cls", "n", "own", "gid", "lo").agg(
+    met = met.groupBy("cls", "n", "own", "gid", "lo", "reach").agg(
         F.max(fits(F.least(F.col("n") - F.col("pos"), F.col("rest")), F.col("least"))).alias("starts"),
         F.sum(within.cast("long")).alias("common"), F.max(F.when(within, F.col("pos") + 1).otherwise(0)).alias("looked_at"))
-    return (met.filter("starts").filter(fits(F.col("n") - F.col("looked_at") + F.col("common"), F.col("lo")))
-            .select("cls", "n", "own", "gid"))
+    met = met.filter("starts").filter(fits(F.col("n") - F.col("looked_at") + F.col("common"), F.col("lo")))
+    cuts = signed.filter("prefix is not null").select("cls", "step", "cuts").dropDuplicates(["cls"])
+    met = met.join(cuts, "cls").withColumn("looked_at", F.greatest(
+        F.col("looked_at"), F.size(F.expr("filter(cuts, c -> c <= reach)")).cast("long") * F.col("step")))
+    met = written(met.filter(fits(F.col("n") - F.col("looked_at") + F.col("common"), F.col("lo"))).select("cls", "n", "own", "gid"), "met")
+    back = met.select(F.col("gid").alias("own"), F.col("own").alias("gid")).distinct()
+    return met.join(back, ["own", "gid"], "left_semi")
 
 
 def placed_in_blocks(grouped: DataFrame, met: DataFrame, rule: Likeness) -> DataFrame:
@@ -381,8 +392,8 @@ def open_groups(rows: DataFrame, rule: Likeness, inside: bool) -> DataFrame:
 def links(docs: DataFrame, signed: DataFrame, rule: Likeness) -> DataFrame:
     """(node, root) of all classes that have a link to another one."""
     shared = written(shared_tokens(signed), "shared")
-    grouped = written(groups(shared, rule), "groups")
-    met = written(candidates(shared, grouped, rule), "candidates")
+    grouped = written(groups(shared), "groups")
+    met = written(candidates(signed, shared, grouped, rule), "candidates")
     placed = written(placed_in_blocks(grouped, met, rule), "blocks")
     lead = written(leaders(placed), "leaders")
     counts = placed.select("gid", "n_blocks").distinct()
