@@ -112,8 +112,10 @@ register("latest_n_events", lambda w: audit.newest_events(_log(w).select("event_
          "SELECT event_id, execution_id, written_at FROM log ORDER BY written_at DESC, event_id DESC LIMIT 500")
 register("layer_filter", lambda w: audit.in_layers(_log(w), ["gold", "ml"]).groupBy("layer").agg(F.count(F.lit(1)).alias("n")),
          "SELECT layer, count(*) AS n FROM log WHERE layer IN ('gold', 'ml') GROUP BY ALL")
-register("finished_runs", lambda w: audit.finished_runs(_runs(w)).filter("duration_seconds > 0").select("execution_id", "status"),
-         "SELECT execution_id, status FROM run_state WHERE status <> 'RUNNING' AND duration_seconds > 0")
+register("finished_runs", lambda w: audit.finished_runs(_runs(w).withColumn(
+    "status", F.when(~F.col("execution_id").endswith("3"), F.col("status")))).filter("duration_seconds > 0").select("execution_id", "status"),
+         """SELECT execution_id, status FROM (SELECT * REPLACE (CASE WHEN execution_id NOT LIKE '%3' THEN status END AS status) FROM run_state)
+            WHERE status IS DISTINCT FROM 'RUNNING' AND duration_seconds > 0""")
 register("freshness", lambda w: audit.freshness(_log(w).select("event_id", "started_at", "finished_at", "written_at"))
          .select("event_id", "fresh_at"),
          "SELECT event_id, greatest(started_at, finished_at, written_at) AS fresh_at FROM log")

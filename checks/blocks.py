@@ -89,9 +89,10 @@ SELECT service_type, source_year, source_month, source_record, pickup,
 FROM b_timed"""
 
 BLOCKS["zones"] = """
-SELECT CAST(i AS INT) AS location_id, r_name AS borough, concat('Zone ', i) AS zone_name,
+SELECT CAST(i AS INT) AS location_id, CASE WHEN i > 265 THEN 'OUTER' ELSE r_name END AS borough, concat('Zone ', i) AS zone_name,
   CASE i % 3 WHEN 0 THEN 'Yellow Zone' WHEN 1 THEN 'Boro Zone' ELSE 'Airports' END AS service_zone
-FROM range(1, 264) t(i) JOIN nation ON n_nationkey = i % 25 JOIN region ON r_regionkey = n_regionkey"""
+FROM range(1, 271) t(i) JOIN nation ON n_nationkey = i % 25 JOIN region ON r_regionkey = n_regionkey
+WHERE i NOT IN (264, 265)"""
 
 BLOCKS["bases"] = """
 SELECT concat('B', lpad(CAST(s_suppkey AS VARCHAR), 5, '0')) AS base_license_number, s_name AS base_name,

@@ -91,7 +91,7 @@ SELECT (SELECT count(DISTINCT pickup_zone_name) FROM zone_rank) AS active_zones,
 _BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 _MATRIX = ", ".join(
     f"CAST(coalesce(sum(trip_count) FILTER (dropoff_borough = '{b}'), 0) AS BIGINT) AS \"{b}\"" for b in _BOROUGHS)
-register("pivot_borough_matrix", lambda w: d.borough_matrix(w.stored_mart("od_routes"), _BOROUGHS),
+register("pivot_borough_matrix", lambda w: d.borough_matrix(w.stored_mart("od_routes")),
          f"SELECT pickup_borough, {_MATRIX} FROM m_routes GROUP BY ALL")
 
 # --- time --------------------------------------------------------------------

@@ -108,13 +108,19 @@ register("temporal_attrs",
 
 
 @query("lineage", """
-SELECT concat('yellow_tripdata_', source_year, '-', lpad(CAST(source_month AS VARCHAR), 2, '0'), '.parquet') AS source_file,
+SELECT concat('feed-', source_year, '-', source_month, '-', length(source_record) % 2, '.parquet') AS source_file,
+  sha256(concat('feed-', source_year, '-', source_month, '-', length(source_record) % 2, '.parquet')) AS bronze_sha256,
   CAST(source_year AS INT) AS source_year, CAST(source_month AS INT) AS source_month, 'run-1' AS silver_execution_id,
   count(*) AS n, true AS stamped
-FROM raw WHERE service_type = 'yellow' GROUP BY ALL""")
+FROM yellow_trips WHERE n_errors = 0 GROUP BY ALL""")
 def _(w):
-    df = trips.with_lineage(w.raw("yellow"), "yellow", "run-1")
-    return df.groupBy("source_file", "source_year", "source_month", "silver_execution_id").agg(
+    # two files a period, with names and checksums of their own, carried to the master
+    part = F.length("source_record") % 2
+    raw = w.raw("yellow").withColumn("source_file", F.concat_ws("", F.lit("feed-"), "source_year", F.lit("-"), "source_month", F.lit("-"), part,
+                                                                F.lit(".parquet")))
+    sums = raw.select("source_file").distinct().withColumn("sha256", F.sha2("source_file", 256))
+    df = trips.service_master(raw, "yellow", w.references(), "run-1", checksums=sums)
+    return df.groupBy("source_file", "bronze_sha256", "source_year", "source_month", "silver_execution_id").agg(
         F.count(F.lit(1)).alias("n"), F.bool_and(F.col("silver_processed_at").isNotNull()).alias("stamped"))
 
 

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 def repeat_groups(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keys seen more than once, with the first ``order`` value of each.
 
-    Only keys and ``order`` are shuffled, after partial aggregation; the result
-    holds one row per repeated key.
+    Almost all keys occur once, so they are first counted by a 64-bit hash, a hash aggregate over longs. Only rows whose
+    hash repeats reach the exact aggregate, whose minimum of texts needs a sort.
     """
+    hashed = df.select(*keys, order, F.xxhash64(*keys).alias("_hash"))
+    often = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
     return (
-        df.groupBy(*keys)
+        hashed.join(often, "_hash", "left_semi").groupBy(*keys)
         .agg(F.min(order).alias("first_record"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
         .drop("copies")
@@ -43,14 +45,6 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return df.groupBy(*keys).agg(picked.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def first_present(df: DataFrame, keys: Sequence[str], order: Column, columns: Sequence[str], newest: bool = True) -> DataFrame:
-    """Per key and column, the newest (or oldest) non-null value."""
-    pick = F.max_by if newest else F.min_by
-    return df.groupBy(*keys).agg(*[
-        pick(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns
-    ])
-
-
 def running_number(df: DataFrame, keys: Sequence[str], time: str, tie: str, into: str, bucket: str = "hour") -> DataFrame:
     """1, 2, 3, ... per key in time order, without ever sorting a whole key in one task.
 

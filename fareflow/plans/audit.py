@@ -86,11 +86,12 @@ def newest_events(log: DataFrame, n: int = 20000) -> DataFrame:
     return log.orderBy(F.desc("written_at"), F.desc("event_id")).limit(n)
 
 
-def freshness(df: DataFrame, into: str = "fresh_at") -> DataFrame:
-    """Newest of whichever timestamp columns the table has."""
-    present = [F.col(c) for c in TIMESTAMPS if c in df.columns]
-    return df.withColumn(into, F.greatest(*present) if len(present) > 1 else present[0])
-
+def freshness(df: DataFrame, into: str = "fresh_at", preferred: str | None = None) -> DataFrame:
+    """Newest of whichever timestamp columns the table has, ``preferred`` among them; null where there is none."""
+    names = dict.fromkeys([*TIMESTAMPS, *([preferred] if preferred else [])])
+    present = [F.col(c).try_cast("timestamp_ntz") for c in names if c in df.columns]
+    missing = F.lit(None).cast("timestamp_ntz")
+    return df.withColumn(into, F.greatest(*present, missing, missing))
 
 
 def parent_rollup(children: DataFrame, parent: str = "parent_execution_id") -> DataFrame:
@@ -246,12 +247,13 @@ def in_layers(df: DataFrame, layers: Sequence[str]) -> DataFrame:
 
 
 def finished_runs(runs: DataFrame) -> DataFrame:
-    return runs.filter(upper_text("status") != "RUNNING")
+    """Runs that are not running; an unknown status counts as not running."""
+    return runs.filter(~upper_text("status").eqNullSafe("RUNNING"))
 
 
 def success_rate(runs: DataFrame, partial_counts: bool = False) -> DataFrame:
     good = ("SUCCESS", "SUCCEEDED", "PARTIAL_SUCCESS") if partial_counts else ("SUCCESS", "SUCCEEDED")
-    return finished_runs(runs).agg(F.avg(upper_text("status").isin(*good).cast("double")).alias("success_rate"))
+    return finished_runs(runs).agg(F.avg(F.coalesce(upper_text("status").isin(*good), F.lit(False)).cast("double")).alias("success_rate"))
 
 
 def status_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -259,8 +261,8 @@ def status_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def median_duration(runs: DataFrame) -> DataFrame:
-    """Exact median; zero means unknown. Whole numbers of milliseconds bound the distinct values kept."""
-    known = F.nullif(F.round("duration_seconds", 3), F.lit(0.0))
+    """Exact median; zero means unknown."""
+    known = F.nullif("duration_seconds", F.lit(0.0))
     return runs.agg(F.percentile(known, 0.5).alias("median_duration"))
 
 

@@ -155,9 +155,10 @@ def geo_kpis(zone_demand: DataFrame, routes: DataFrame) -> DataFrame:
     })
 
 
-def borough_matrix(routes: DataFrame, boroughs: Sequence[str]) -> DataFrame:
-    """Pickup by dropoff borough; a pair without trips is zero."""
-    return routes.groupBy("pickup_borough").pivot("dropoff_borough", list(boroughs)).agg(F.sum("trip_count")).fillna(0)
+def borough_matrix(routes: DataFrame, boroughs: Sequence[str] | None = None) -> DataFrame:
+    """Pickup by dropoff borough, all that occur unless some are asked for; a pair without trips is zero."""
+    wanted = None if boroughs is None else list(boroughs)
+    return routes.groupBy("pickup_borough").pivot("dropoff_borough", wanted).agg(F.sum("trip_count")).fillna(0)
 
 
 # --- time --------------------------------------------------------------------
@@ -306,18 +307,22 @@ _LABELS = tuple(SERVICE_LABELS.values())
 
 
 def zone_service_matrix(competition: DataFrame) -> DataFrame:
-    """Trips and shares per zone and service; ties go to the earlier service column."""
+    """Trips and shares per zone and service; ties go to the earlier service column.
+
+    Services beyond the known ones follow them by name; the mart has one row per zone and service, so they are few.
+    """
     keys = ("pickup_zone_key", "pickup_zone_name", "pickup_borough")
-    wide = named(labelled(competition), *keys).groupBy(*keys).pivot("service_label", list(_LABELS)).agg(
-        F.sum("pickup_trip_count")
-    ).fillna(0)
-    wide = wide.withColumn("total", sum((F.col(s) for s in _LABELS[1:]), F.col(_LABELS[0])))
-    best = F.greatest(*_LABELS)
+    long = named(labelled(competition), *keys)
+    others = long.filter(~F.col("service_label").isin(*_LABELS)).select("service_label").distinct().orderBy("service_label")
+    labels = [*_LABELS, *[r["service_label"] for r in others.collect()]]
+    wide = long.groupBy(*keys).pivot("service_label", labels).agg(F.sum("pickup_trip_count")).fillna(0)
+    counts = [F.col(f"`{s}`") for s in labels]
+    wide = wide.withColumn("total", sum(counts[1:], counts[0]))
     wide = wide.withColumns({
-        **{f"{s}_share": F.try_divide(F.col(s), F.col("total")) for s in _LABELS},
-        "dominant_service": F.coalesce(*[F.when(F.col(s) == best, s) for s in _LABELS]),
+        **{f"{s}_share": F.try_divide(c, F.col("total")) for s, c in zip(labels, counts)},
+        "dominant_service": F.coalesce(*[F.when(c == F.greatest(*counts), s) for s, c in zip(labels, counts)]),
     })
-    return wide.withColumn("dominant_share", F.greatest(*[f"{s}_share" for s in _LABELS]))
+    return wide.withColumn("dominant_share", F.greatest(*[F.col(f"`{s}_share`") for s in labels]))
 
 
 def dominance_table(competition: DataFrame, n: int = 30) -> DataFrame:
@@ -341,7 +346,7 @@ def forecast_levels(predictions: DataFrame) -> DataFrame:
 def forecast_top_zones(predictions: DataFrame, n: int = 15) -> DataFrame:
     zones = predictions.groupBy("pickup_zone_name", "pickup_borough").agg(
         F.sum("predicted_trip_count").alias("predicted_trip_count"))
-    return top(zones, n, F.desc("predicted_trip_count"), F.asc("pickup_zone_name"))
+    return top(zones, n, F.desc("predicted_trip_count"), F.asc("pickup_zone_name"), F.asc("pickup_borough"))
 
 
 def forecast_peak(predictions: DataFrame) -> DataFrame:

@@ -169,11 +169,11 @@ def _grain(keys: Sequence[str], stored: bool) -> list[Column]:
 
 
 def zone_labels(dim_zone: DataFrame, end: str, borough: bool = True) -> DataFrame:
-    """Names of at most 265 zones, safe to broadcast (``dim_zone`` holds valid ids only)."""
+    """Zone names keyed for one end of a trip; Spark broadcasts them as long as they are small."""
     wanted = [F.col("zone_key").alias(f"{end}_zone_key"), F.col("zone_name").alias(f"{end}_zone_name")]
     if borough:
         wanted.append(F.col("borough").alias(f"{end}_borough"))
-    return F.broadcast(dim_zone.select(*wanted))
+    return dim_zone.select(*wanted)
 
 
 def positive_ratio(top: str, bottom: str) -> Column:

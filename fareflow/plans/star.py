@@ -101,12 +101,12 @@ def dim_time(spark: SparkSession) -> DataFrame:
     )
 
 
-def dim_zone(zones: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
-    """One row per zone id. Ids outside the valid range cannot label any accepted trip."""
+def dim_zone(zones: DataFrame) -> DataFrame:
+    """One row per zone id of the lookup."""
     zone = F.col("location_id").cast("int")
     rest = ("zone_name", "borough", "service_zone")
     return (
-        zones.filter(zone.between(limits.location_min, limits.location_max))
+        zones.filter(zone.isNotNull())
         .groupBy(zone.alias("zone_key")).agg(F.min(F.struct(*rest)).alias("z"))
         .select(
             "zone_key", F.col("zone_key").alias("location_id"), *[F.col(f"z.{r}").alias(r) for r in rest],
@@ -141,59 +141,35 @@ def dim_provider(master: DataFrame) -> DataFrame:
 
 
 # --- facts -------------------------------------------------------------------
-# Output column -> SQL over the master.
+# SQL over the master for columns that are not a master column of their name.
 
 def _day(column: str) -> str:
     return f"CAST(date_format({column}, 'yyyyMMdd') AS INT)"
 
 
-def _same(*names: str) -> dict[str, str]:
-    return {n: n for n in names}
-
-
 _PROVIDER = "coalesce(vendor_id_or_license, dispatching_base_num, originating_base_num)"
-_KEYS = {
+_CHARGED = ("fare_amount", "tolls_amount", "black_car_fund", "sales_tax", "congestion_surcharge", "airport_fee",
+            "cbd_congestion_fee", "tip_amount")
+_SOURCES = {
     "trip_key": "trip_business_id",
     "service_key": "service_id",
-    "service_type": "service_type",
     "pickup_zone_key": "pickup_location_id",
     "dropoff_zone_key": "dropoff_location_id",
     "provider_key": f"CASE WHEN {_PROVIDER} IS NOT NULL THEN abs(xxhash64(service_type, {_PROVIDER})) END",
-}
-_ACTIVITY = {
-    **_KEYS,
+    "date_key": _day("pickup_date"),
+    "time_key": "pickup_hour",
     "pickup_date_key": _day("pickup_date"),
     "pickup_time_key": "pickup_hour",
     "dropoff_date_key": _day("dropoff_date"),
     "dropoff_time_key": "hour(dropoff_datetime)",
+    "request_date_key": _day("request_datetime"),
+    "request_time_key": "hour(request_datetime)",
     "trip_distance_miles": "trip_distance",
-    **_same("trip_count", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds", "passenger_count",
-            "average_speed_mph", "weekend_trip_flag", "night_trip_flag", "airport_trip_flag", "quality_warning_count",
-            "quality_status", "source_year", "source_month", "silver_execution_id", "silver_processed_at"),
-}
-_FINANCIAL = {
-    **_KEYS,
-    "date_key": _day("pickup_date"),
-    "time_key": "pickup_hour",
     "payment_type_key": "coalesce(payment_type, -1)",
     "rate_code_key": "coalesce(rate_code_id, -1)",
     "trip_type_key": "coalesce(trip_type, -1)",
     "extra_amount": "extra",
     "mta_tax_amount": "mta_tax",
-    "trip_distance_miles": "trip_distance",
-    **_same("fare_amount", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
-            "airport_fee", "cbd_congestion_fee", "total_amount", "fare_per_mile", "tip_percentage",
-            "revenue_per_minute", "trip_duration_seconds", "airport_trip_flag", "trip_count", "source_year",
-            "source_month"),
-}
-_CHARGED = ("fare_amount", "tolls_amount", "black_car_fund", "sales_tax", "congestion_surcharge", "airport_fee",
-            "cbd_congestion_fee", "tip_amount")
-_OPERATIONS = {
-    **_KEYS,
-    "request_date_key": _day("request_datetime"),
-    "request_time_key": "hour(request_datetime)",
-    "pickup_date_key": _day("pickup_date"),
-    "pickup_time_key": "pickup_hour",
     "hvfhs_license_num": "vendor_id_or_license",
     "trip_miles": "trip_distance",
     "trip_time_seconds": "reported_trip_time_seconds",
@@ -201,17 +177,36 @@ _OPERATIONS = {
     "tolls": "tolls_amount",
     "tips": "tip_amount",
     "passenger_charge_amount": " + ".join(f"coalesce({n}, 0D)" for n in _CHARGED),
-    **_same("hvfhs_company_name", "dispatching_base_num", "originating_base_num", "request_datetime",
-            "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "trip_duration_seconds",
-            "request_to_pickup_seconds", "driver_wait_seconds", "black_car_fund", "sales_tax",
-            "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "driver_pay", "shared_requested",
-            "shared_matched", "access_a_ride", "wav_requested", "wav_matched", "airport_trip_flag",
-            "weekend_trip_flag", "night_trip_flag", "trip_count", "source_year", "source_month"),
 }
-
-
-def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+# The facts' columns in the contract's order.
+_ACTIVITY = (
+    "trip_key", "pickup_date_key", "pickup_time_key", "dropoff_date_key", "dropoff_time_key", "service_key",
+    "service_type", "pickup_zone_key", "dropoff_zone_key", "provider_key", "trip_count", "pickup_datetime",
+    "dropoff_datetime", "trip_duration_seconds", "trip_distance_miles", "passenger_count", "average_speed_mph",
+    "weekend_trip_flag", "night_trip_flag", "airport_trip_flag", "quality_warning_count", "quality_status",
+    "source_year", "source_month", "silver_execution_id", "silver_processed_at",
+)
+_FINANCIAL = (
+    "trip_key", "date_key", "time_key", "service_key", "service_type", "pickup_zone_key", "dropoff_zone_key",
+    "provider_key", "payment_type_key", "rate_code_key", "trip_type_key", "fare_amount", "extra_amount",
+    "mta_tax_amount", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee",
+    "cbd_congestion_fee", "total_amount", "fare_per_mile", "tip_percentage", "revenue_per_minute",
+    "trip_distance_miles", "trip_duration_seconds", "airport_trip_flag", "trip_count", "source_year", "source_month",
+)
+_OPERATIONS = (
+    "trip_key", "request_date_key", "request_time_key", "pickup_date_key", "pickup_time_key", "service_key",
+    "service_type", "pickup_zone_key", "dropoff_zone_key", "provider_key", "hvfhs_license_num", "hvfhs_company_name",
+    "dispatching_base_num", "originating_base_num", "request_datetime", "on_scene_datetime", "pickup_datetime",
+    "dropoff_datetime", "trip_miles", "trip_time_seconds", "trip_duration_seconds", "request_to_pickup_seconds",
+    "driver_wait_seconds", "base_passenger_fare", "tolls", "black_car_fund", "sales_tax", "congestion_surcharge",
+    "airport_fee", "cbd_congestion_fee", "tips", "driver_pay", "passenger_charge_amount", "shared_requested",
+    "shared_matched", "access_a_ride", "wav_requested", "wav_matched", "airport_trip_flag", "weekend_trip_flag",
+    "night_trip_flag", "trip_count", "source_year", "source_month",
+)
+
+
+def _project(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return df.selectExpr(*[f"{_SOURCES.get(name, name)} AS {name}" for name in columns])
 
 
 def fact_trip_activity(master: DataFrame) -> DataFrame:

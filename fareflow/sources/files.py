@@ -47,9 +47,11 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], df.schema)
 
 
-def _named(df: DataFrame, aliases: Sequence[str]) -> Column:
+def _named(df: DataFrame, aliases: Sequence[str], required: bool = False) -> Column:
     spaced = {c.replace(" ", "_"): c for c in df.columns}
     found = resolve(spaced, [a.replace(" ", "_") for a in aliases])
+    if required and found is None:
+        raise ValueError(f"no column {aliases[0]} among {df.columns}")
     return F.lit(None).cast("string") if found is None else F.trim(F.col(f"`{spaced[found]}`"))
 
 
@@ -66,10 +68,10 @@ def reference_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def normalize_zones(raw: DataFrame) -> DataFrame:
     picked = raw.select(
-        _named(raw, ["LocationID", "location_id"]).try_cast("int").alias("location_id"),
-        _named(raw, ["Borough"]).alias("borough"),
-        _named(raw, ["Zone"]).alias("zone_name"),
-        _named(raw, ["service_zone"]).alias("service_zone"),
+        _named(raw, ["LocationID", "location_id"], True).try_cast("int").alias("location_id"),
+        _named(raw, ["Borough"], True).alias("borough"),
+        _named(raw, ["Zone"], True).alias("zone_name"),
+        _named(raw, ["service_zone"], True).alias("service_zone"),
     ).filter("location_id IS NOT NULL")
     # Airport names by zone.
     airport = F.col("location_id")
@@ -150,22 +152,48 @@ def read_manifests(spark: SparkSession, root: str, schema: str, one_per_file: bo
     )
 
 
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# Character references as they occur in addresses.
+_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&#x26;": "&", "&amp;": "&"}
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved."""
+    kept = F.aggregate(
+        F.slice(F.split(path, "/"), 2, F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))))
+    folder = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), folder)).otherwise(path)
+
+
 def links_from_pages(pages: DataFrame, hosts: Sequence[str] = ()) -> DataFrame:
-    """Links of HTML pages resolved against the page address; ``hosts`` restricts the targets."""
-    hrefs = F.regexp_extract_all("html", F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    found = pages.select("page_id", "url", F.posexplode(hrefs).alias("position", "href"))
-    href = F.trim("href")
+    """Links of HTML pages resolved against the page address; ``hosts`` restricts the targets.
+
+    Values may be quoted or not; character references are decoded and dot segments of relative links resolved.
+    """
+    forms = [F.regexp_extract_all("html", F.lit(_HREF), F.lit(i)) for i in (1, 2, 3)]
+    hrefs = forms[0]
+    for form in forms[1:]:  # one of the three holds the value
+        hrefs = F.zip_with(hrefs, form, lambda a, b: F.concat(a, b))
+    found = pages.select("page_id", "url", F.posexplode_outer(hrefs).alias("position", "href")).filter("href is not null")
+    href = F.col("href")
+    for reference, char in _REFERENCES.items():
+        href = F.replace(href, F.lit(reference), F.lit(char))
+    found = found.withColumn("href", F.trim(href))
+    href = F.col("href")
     origin = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
-    folder = F.regexp_extract("url", r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
-    base = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    folder = F.regexp_extract("url", r"^https?://[^/?#]+(/(?:[^?#]*/)?)", 1)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
     target = (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract("url", r"^(https?:)", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("/"), F.concat(origin, _without_dots(path), rest))
         .when(href.startswith("#"), F.concat(F.regexp_extract("url", r"^([^#]*)", 1), href))
         .when(href.startswith("?"), F.concat(F.regexp_extract("url", r"^([^?#]*)", 1), href))
-        .when(href == "", F.regexp_extract("url", r"^([^#]*)", 1))
-        .otherwise(F.concat(base, href))
+        .when(href == "", F.col("url"))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, path)), rest))
     )
     links = found.select("page_id", "position", target.alias("link")).withColumn(
         "host", F.lower(F.regexp_extract("link", r"^https?://([^/:?#]+)", 1))

@@ -23,15 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """A table of fewer splits than cores is dealt out by key; a large one stays as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order date; every 101st ``h`` arrives twice."""
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")  # as the join below needs it where it shuffles
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return (
@@ -164,13 +158,13 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones 1..263, each belonging to a nation and so to a region."""
+    """Zones 1..263, each belonging to a nation and so to a region, and 266..270 outside the range trips may name."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     homes = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    ids = F.expr("filter(sequence(0, 263), i -> i > 0 AND i % 25 = n_nationkey)")
+    ids = F.expr("filter(sequence(0, 270), i -> i > 0 AND i NOT IN (264, 265) AND i % 25 = n_nationkey)")
     return homes.select(F.explode(ids).alias("location_id"), "r_name").selectExpr(
         "location_id",
-        "r_name AS borough",
+        "if(location_id > 265, 'OUTER', r_name) AS borough",
         "concat('Zone ', location_id) AS zone_name",
         "CASE location_id % 3 WHEN 0 THEN 'Yellow Zone' WHEN 1 THEN 'Boro Zone' ELSE 'Airports' END AS service_zone",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.operators.quality import accepted, rejected
@@ -86,12 +86,15 @@ def merge_registry(registry: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def version_history(ingested: DataFrame) -> DataFrame:
-    """Versions per period: a new hash archives the one before it. Unchanged re-ingests are no version."""
+    """Versions per period: a hash that differs from the one before archives it, also when it returns to an older one.
+
+    A period has as many rows as it was ingested, so its window is bounded by the number of runs.
+    """
     keys = ["service", "year", "month"]
-    first_seen = ingested.groupBy(*keys, "sha256").agg(F.min("ingested_at").alias("ingested_at"))
-    newest = first_seen.groupBy(*keys).agg(F.max(F.struct("ingested_at", "sha256")).alias("_newest"))
-    current = F.struct("ingested_at", "sha256") == F.col("_newest")
-    return first_seen.join(newest, keys).select(
-        *keys, "sha256", "ingested_at", current.alias("is_current"),
-        F.when(current, "CURRENT").otherwise("ARCHIVED").alias("version_state"),
+    in_order = Window.partitionBy(*keys).orderBy("ingested_at", "sha256")
+    versions = ingested.withColumn("_before", F.lag("sha256").over(in_order)).filter(
+        F.col("_before").isNull() | (F.col("sha256") != F.col("_before")))
+    return versions.withColumn("is_current", F.lead(F.lit(1)).over(in_order).isNull()).select(
+        *keys, "sha256", "ingested_at", "is_current",
+        F.when(F.col("is_current"), "CURRENT").otherwise("ARCHIVED").alias("version_state"),
     )

@@ -1,6 +1,8 @@
 """Files in and out, streaming, contracts and periods."""
 
+from datetime import datetime
 from types import SimpleNamespace
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +154,38 @@ def test_split_reconciles(spark, small, folder):
     paths = sinks.write_split(flagged, folder, ["source_year"])
     sizes = {n: spark.read.parquet(p).count() for n, p in paths.items()}
     assert sizes["flagged"] == sizes["curated"] + sizes["rejected"] == flagged.count()
+
+
+def test_links_resolve_like_a_browser(spark):
+    base = "https://h.example/a/b/c.html?k=1#z"
+    hrefs = ["../d/x", "./e", "x", "&amp;y=1", "/a/../b/./c", "//o.org/z", "?q=1", "#f", "", "http://u.v/a/../b", "..", "../..", "../../../g", "a/b/../"]
+    forms = ['<a class=q href="{}">', "<A\n HREF='{}'>", "<a data-href=no href={}>"]
+    html = "".join(forms[i % 3 if h else 0].format(h) for i, h in enumerate(hrefs))
+    out = files.links_from_pages(spark.createDataFrame([(1, base, html)], "page_id long, url string, html string")).orderBy("position").collect()
+    assert [r.link for r in out] == [urljoin(base, h.replace("&amp;", "&")) for h in hrefs]
+
+
+def test_a_version_that_returns_is_current(spark):
+    at = [datetime(2024, 1, d) for d in range(1, 6)]
+    rows = [("yellow", 2024, 1, s, t) for s, t in zip("ABBA", at)] + [("green", 2024, 1, "A", at[0])]
+    df = spark.createDataFrame(rows, "service string, year int, month int, sha256 string, ingested_at timestamp_ntz")
+    out = {(r.service, r.ingested_at.day): (r.sha256, r.version_state) for r in sinks.version_history(df).collect()}
+    assert out == {("yellow", 1): ("A", "ARCHIVED"), ("yellow", 2): ("B", "ARCHIVED"), ("yellow", 4): ("A", "CURRENT"), ("green", 1): ("A", "CURRENT")}
+
+
+def test_unknown_statuses_count_as_finished_and_not_good(spark):
+    runs = spark.createDataFrame([("SUCCESS",), (None,), ("running",)], "status string")
+    assert audit.finished_runs(runs).count() == 2
+    assert audit.success_rate(runs).first().success_rate == 0.5
+
+
+def test_zone_csv_must_have_its_columns(spark):
+    raw = spark.createDataFrame([("1", "x")], "LocationID string, Borough string")
+    with pytest.raises(ValueError, match="Zone"):
+        files.normalize_zones(raw)
+
+
+def test_freshness_without_and_with_preferred_columns(spark):
+    df = spark.createDataFrame([(1, datetime(2024, 1, 2))], "id long, seen timestamp_ntz")
+    assert audit.freshness(df).first().fresh_at is None
+    assert audit.freshness(df, preferred="seen").first().fresh_at == datetime(2024, 1, 2)
