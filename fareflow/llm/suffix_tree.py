@@ -36,7 +36,7 @@ from fareflow.llm import text as tx
 from fareflow.llm.store import most_frequent, written
 
 HEAD_WORDS = 1 << 19
-HOLD = 1 << 21  # counts a task holds before it hands them on
+HOLD = 1 << 20  # counts a task holds before it hands them on
 
 
 @dataclass(frozen=True)
