@@ -188,6 +188,16 @@ class SuffixTree:
             self.entries = tx.HashTable(np.concatenate(entry_keys), np.concatenate(entry_logs).astype(np.float32))
             self.states = tx.HashTable(np.concatenate(state_keys), np.concatenate(state_logs).astype(np.float32))
 
+    def plain(self) -> tuple:
+        return self.depth, self.root, self.entries.plain(), self.states.plain()
+
+    @classmethod
+    def of(cls, plain: tuple) -> SuffixTree:
+        tree = cls.__new__(cls)
+        tree.depth, tree.root = plain[:2]
+        tree.entries, tree.states = map(tx.HashTable.of, plain[2:])
+        return tree
+
     @staticmethod
     def _kept(levels, contexts, rules: TreeRules) -> list[tuple[np.ndarray, np.ndarray]]:
         """Contexts of each length that pass the divergence test or end one that does, with their counts."""
@@ -282,11 +292,11 @@ def scores(docs: DataFrame, training: Column, rules: TreeRules = TreeRules(), do
     head = most_frequent(vocabulary_counts, HEAD_WORDS).toArrow()
     head_words = head.column("key").to_numpy().astype(np.int64).view(np.uint64)
     head_logs = np.log10((head.column("n").to_numpy() + 1) / spread)
-    sent = spark.sparkContext.broadcast((grow(counts, rules), tx.HashTable(head_words, head_logs)))
+    sent = spark.sparkContext.broadcast((grow(counts, rules).plain(), tx.HashTable(head_words, head_logs).plain()))
     end_log = float(np.log10((n_texts + 1) / spread))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known = sent.value
+        tree, known = SuffixTree.of(sent.value[0]), tx.HashTable.of(sent.value[1])
         row = TaskContext.get().partitionId() << 40
         names = ["row", "doc_id", "word", "n", "n_known", "base", "score"]
         for batch in batches:

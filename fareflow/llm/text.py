@@ -130,6 +130,16 @@ class HashTable:
             stay[np.flatnonzero(free)[who]] = False
             left, at = left[stay], (at[stay] + 1) & self.mask
 
+    def plain(self) -> tuple:
+        """What a broadcast carries; executors need no class of this package to read it."""
+        return self.shift, self.mask, self.keys, self.values
+
+    @classmethod
+    def of(cls, plain: tuple) -> HashTable:
+        table = cls.__new__(cls)
+        table.shift, table.mask, table.keys, table.values = plain
+        return table
+
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).view(np.int64)
 
