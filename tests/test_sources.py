@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.operators import quality
-from fareflow.plans import audit, ingestion, trips
+from fareflow.plans import audit, ingestion, star, trips
 from fareflow.session import shared_dir
 from fareflow.sources import files, sinks
 from fareflow.spec import DEFAULT_SCOPES, Scope, ServiceScope
@@ -189,3 +189,11 @@ def test_freshness_without_and_with_preferred_columns(spark):
     df = spark.createDataFrame([(1, datetime(2024, 1, 2))], "id long, seen timestamp_ntz")
     assert audit.freshness(df).first().fresh_at is None
     assert audit.freshness(df, preferred="seen").first().fresh_at == datetime(2024, 1, 2)
+
+
+def test_zones_beyond_the_usual_range_keep_their_names(spark):
+    zones = spark.createDataFrame([(1, "A", "x", "s"), (300, "B", "y", "s")], "location_id int, zone_name string, borough string, service_zone string")
+    ends = spark.createDataFrame([(300, 1)], "pickup_location_id int, dropoff_location_id int")
+    row = trips.join_zones(ends, zones).first()
+    assert (row.pickup_zone_name, row.dropoff_zone_name) == ("B", "A")
+    assert {r.zone_key for r in star.dim_zone(zones).collect()} == {1, 300}
