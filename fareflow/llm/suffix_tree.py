@@ -4,15 +4,17 @@ A text is the sequence of its words (A-Z lower-cased, runs outside ``[\\x20\\x09
 words and an end mark, so the tree's probability is that of the words and the end. The tree's states are contexts of up to ``depth`` bytes:
 
 * counted over all training texts: every run of ``depth + 1`` bytes, from which shorter contexts follow by summing;
-* candidates are contexts with a share of at least ``context_share`` of all positions, so there are at most
-  ``1 / context_share`` of each length whatever the input's size, and next bytes with at least ``entry_share``, of these at most the ``entry_limit`` most frequent;
-* kept by a divergence test: a context stays when its next-byte distribution diverges from that of its longest proper suffix by more
-  than chance would have it (G-test, four standard deviations above its mean), and so do all suffixes of it;
+* kept by a divergence test over the full counts, whatever the corpus's size: a context stays when its next-byte distribution diverges
+  from that of its longest proper suffix by more than chance would have it (G-test, four standard deviations above its mean), and so
+  do all suffixes of it;
 * smoothed: a state gives its counts and leaves the rest, with one count for each next byte seen, to its parent; the root gives every byte
   one count more.
 
-A position is scored by the longest suffix of what precedes it that is a state. The finished tree is bounded by its parameters (states by
-``depth / context_share``, next bytes by ``entry_limit``) and broadcast; what it is learnt from grows with the corpus and is only counted, by tasks and shuffles.
+A position is scored by the longest suffix of what precedes it that is a state. States and next bytes are written tables that grow with the
+corpus, made by aggregates and joins. A model of which every part holds ``context_share`` and ``entry_share`` of the positions and that has at
+most ``entry_limit`` next bytes is broadcast whole. Of a larger one the most frequent full runs are broadcast with their probabilities, at
+most ``entry_limit``; all other runs are counted by document and joined with the tables. Shares and limit decide where a run is looked
+up and change no score (but for rounding: what is broadcast is in single precision). A run fits one long, so ``depth`` is at most 7.
 
 Unigram base: the sum over tokens (words and one end) of log10((c + 1) / (N + V + 1)). Counts of the most frequent
 words, at most ``HEAD_WORDS``, are broadcast; tokens of all others are counted by document and joined with the full table of counts.
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm import text as tx
@@ -41,10 +43,10 @@ HOLD = 1 << 20  # counts a task holds before it hands them on
 
 @dataclass(frozen=True)
 class TreeRules:
-    depth: int = 5
+    depth: int = 7
     context_share: float = 1e-6
     entry_share: float = 1e-7
-    entry_limit: int = 1 << 21
+    entry_limit: int = 1 << 20
     deviations: float = 4.0
 
 
@@ -151,130 +153,180 @@ def corpus_counts(docs: DataFrame, depth: int) -> DataFrame:
     return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _key(level: int, gram: np.ndarray) -> np.ndarray:
-    return gram | np.uint64((level + 1) << 56)
+def _key(level: int, context: np.ndarray) -> np.ndarray:
+    return context | np.uint64((level + 1) << 56)
+
+
+def _run_key(level: int, gram: np.ndarray) -> np.ndarray:
+    return tx.mix(gram + np.uint64((level + 1) << 56))  # a run may fill all 64 bits
+
+
+def _low(level: int) -> np.uint64:
+    """Mask of the lowest ``level`` bytes."""
+    return np.uint64((1 << (8 * level)) - 1)
 
 
 class SuffixTree:
-    """States by context, next bytes by state, all in log10."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray]], rules: TreeRules):
-        """``levels[j]``: runs of j + 1 bytes and counts; ``contexts[j]``: contexts of j bytes and counts."""
-        self.depth = rules.depth
-        grams0, counts0 = levels[0]
-        root = np.ones(256)
-        root[grams0.astype(np.int64)] += counts0
-        self.root = np.log10(root / root.sum())
-        states = self._kept(levels, contexts, rules)
-        entry_keys, entry_logs, state_keys, state_logs = [], [], [], []
-        self.entries = self.states = tx.HashTable(np.zeros(0, np.uint64), np.zeros(0, np.float32))
-        for j in range(1, rules.depth + 1):
-            kept, total = states[j]
-            grams_j, n = levels[j]
-            place = np.minimum(np.searchsorted(kept, grams_j >> np.uint64(8)), max(0, len(kept) - 1))
-            mine = kept[place] == grams_j >> np.uint64(8) if len(kept) else np.zeros(len(grams_j), bool)
-            grams_j, n, place = grams_j[mine], n[mine], place[mine]
-            seen = np.bincount(place, minlength=len(kept)).astype(float)
-            given = np.bincount(place, weights=n, minlength=len(kept))
-            left = (total - given + seen) / (total + seen)
-            left = np.maximum(left, 1e-12)
-            mask = np.uint64((1 << (8 * j)) - 1)
-            below = 10 ** self._log(grams_j & mask, j - 1)
-            p = n / (total + seen)[place] + left[place] * below
-            entry_keys.append(_key(j, grams_j))
-            entry_logs.append(np.log10(p))
-            state_keys.append(_key(j, kept))
-            state_logs.append(np.log10(left))
-            self.entries = tx.HashTable(np.concatenate(entry_keys), np.concatenate(entry_logs).astype(np.float32))
-            self.states = tx.HashTable(np.concatenate(state_keys), np.concatenate(state_logs).astype(np.float32))
+    """What is broadcast of a model, in log10: states by context and next bytes by state, or only the most frequent full runs."""
+
+    def __init__(self, depth: int, whole: bool, root: np.ndarray, entries: list[tuple], states: list[tuple]):
+        """``entries``: (level, run, log10 p); ``states``: (level, context, log10 of what it leaves), as arrays by level."""
+        self.depth, self.whole, self.root = depth, whole, root
+
+        def table(parts: list[tuple], key) -> tx.HashTable:
+            keys = np.concatenate([np.zeros(0, np.uint64), *(key(j, k) for j, k, _ in parts)])
+            return tx.HashTable(keys, np.concatenate([np.zeros(0), *(v for _, _, v in parts)]).astype(np.float32))
+        self.entries, self.states = table(entries, _run_key), table(states, _key)
 
     def plain(self) -> tuple:
-        return self.depth, self.root, self.entries.plain(), self.states.plain()
+        return self.depth, self.whole, self.root, self.entries.plain(), self.states.plain()
 
     @classmethod
     def of(cls, plain: tuple) -> SuffixTree:
         tree = cls.__new__(cls)
-        tree.depth, tree.root = plain[:2]
-        tree.entries, tree.states = map(tx.HashTable.of, plain[2:])
+        tree.depth, tree.whole, tree.root = plain[:3]
+        tree.entries, tree.states = map(tx.HashTable.of, plain[3:])
         return tree
 
-    @staticmethod
-    def _kept(levels, contexts, rules: TreeRules) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Contexts of each length that pass the divergence test or end one that does, with their counts."""
-        keep: list[np.ndarray] = [np.zeros(0, bool)] * (rules.depth + 1)
-        for j in range(rules.depth, 0, -1):
-            ctx, total = contexts[j]
-            grams_j, n = levels[j]
-            place = np.searchsorted(ctx, grams_j >> np.uint64(8))
-            known = place < len(ctx)
-            known[known] = ctx[place[known]] == grams_j[known] >> np.uint64(8)
-            grams_j, n, place = grams_j[known], n[known], place[known]
-            mask = np.uint64((1 << (8 * j)) - 1)
-            short, short_n = levels[j - 1]
-            parent, parent_n = contexts[j - 1]
-            at = np.minimum(np.searchsorted(short, grams_j & mask), max(0, len(short) - 1))
-            up = np.minimum(np.searchsorted(parent, (grams_j & mask) >> np.uint64(8)), max(0, len(parent) - 1))
-            gain = n * np.log((n / total[place]) / (short_n[at] / parent_n[up])) if len(n) else np.zeros(0)
-            k = np.bincount(place, minlength=len(ctx)).astype(float)
-            g = 2 * np.bincount(place, weights=gain, minlength=len(ctx))
-            passed = (k > 0) & (g > k + rules.deviations * np.sqrt(2 * k))
-            if j < rules.depth:
-                longer = contexts[j + 1][0][keep[j + 1]] & mask
-                passed |= np.isin(ctx, longer)
-            keep[j] = passed
-        return [(ctx[keep[j]], total[keep[j]]) if j else (ctx, total) for j, (ctx, total) in enumerate(contexts)]
-
     def _log(self, gram: np.ndarray, level: int) -> np.ndarray:
-        """log10 of the lowest byte's probability after the ``level`` bytes above it."""
+        """log10 of the lowest byte's probability after the ``level`` bytes above it, from a whole model."""
         out = np.zeros(len(gram))
         open_ = np.arange(len(gram))
         for j in range(level, 0, -1):
-            key = _key(j, gram[open_] & np.uint64((1 << (8 * (j + 1))) - 1))
-            at, hit = self.entries.find(key)
+            at, hit = self.entries.find(_run_key(j, gram[open_] & _low(j + 1)))
             out[open_[hit]] += self.entries.values[at[hit]]
             open_ = open_[~hit]
             if not len(open_):
                 return out
-            at, hit = self.states.find(_key(j, (gram[open_] & np.uint64((1 << (8 * (j + 1))) - 1)) >> np.uint64(8)))
+            at, hit = self.states.find(_key(j, (gram[open_] & _low(j + 1)) >> np.uint64(8)))
             out[open_[hit]] += self.states.values[at[hit]]
         out[open_] += self.root[(gram[open_] & np.uint64(255)).astype(np.int64)]
         return out
 
-    def score(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
+    def judged(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each text's runs that are known here; the other runs, and the text of each."""
         symbols, begin = spelled(data, starts, self.depth)
-        mask = _places(begin, len(symbols), self.depth)
-        logs = np.zeros(len(symbols))
-        logs[mask] = self._log(grams(symbols, self.depth)[mask], self.depth)
-        return np.add.reduceat(logs, begin)
+        at = np.flatnonzero(_places(begin, len(symbols), self.depth))
+        runs = grams(symbols, self.depth)[at]
+        owner = np.searchsorted(begin, at, "right") - 1
+        if self.whole:
+            logs, hit = self._log(runs, self.depth), np.ones(len(runs), bool)
+        else:
+            place, hit = self.entries.find(_run_key(self.depth, runs))
+            logs = np.where(hit, self.entries.values[place], 0.0)
+        return np.bincount(owner, weights=logs, minlength=len(begin)), runs[~hit], owner[~hit]
 
+    def score(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 probability of each text, from a whole model."""
+        return self.judged(data, starts)[0]
 
-def grow(counts: DataFrame, rules: TreeRules) -> SuffixTree:
-    """The tree of a corpus's counts; what reaches the driver is bounded by the shares."""
-    runs = counts.filter("kind = 1")
-    total = runs.agg(F.sum("n").alias("n")).first()["n"] or 0
-    least_entry, least_context = max(1.0, total * rules.entry_share), max(1.0, total * rules.context_share)
-    by_level = None
+
+def _lowest(column: Column, level: int) -> Column:
+    """The run of a context of ``level`` bytes and its next byte, from a longer run."""
+    return column if level >= 7 else column.bitwiseAND(F.lit((1 << (8 * (level + 1))) - 1))
+
+
+@dataclass
+class Model:
+    """Written tables: ``entries`` (level, gram, n, log) and ``states`` (level, ctx, n, log)."""
+    entries: DataFrame
+    states: DataFrame
+    root: np.ndarray
+
+
+def learn(counts: DataFrame, rules: TreeRules) -> Model:
+    """All states that pass the divergence test, and the probability of every run that was seen."""
+    if rules.depth > 7:
+        raise ValueError("a run of more than 8 bytes does not fit a long")
+    level = counts.filter("kind = 1").select(F.col("key").alias("gram"), "n")
+    levels: list[DataFrame] = [level] * (rules.depth + 1)
     for j in range(rules.depth, -1, -1):
-        mask = (1 << (8 * (j + 1))) - 1
-        level = (runs.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-                 .select(F.lit(j).alias("level"), "gram", "n"))
-        by_level = level if by_level is None else by_level.unionByName(level)
-    by_level = written(by_level, "runs")
-    large = by_level.filter((F.col("n") >= least_entry) & (F.col("level") > 0))
-    entries = most_frequent(large, rules.entry_limit).unionByName(by_level.filter("level = 0")).toArrow()
-    contexts = (by_level.groupBy("level", F.shiftrightunsigned("gram", 8).alias("ctx")).agg(F.sum("n").alias("n"))
-                .filter((F.col("n") >= least_context) | (F.col("level") == 0)).toArrow())
-
-    def split(table: pa.Table, name: str) -> list[tuple[np.ndarray, np.ndarray]]:
-        level, key, n = (table.column(c).to_numpy() for c in ("level", name, "n"))
-        out = []
-        for j in range(rules.depth + 1):
-            k, m = key[level == j].astype(np.int64).view(np.uint64), n[level == j].astype(float)
-            order = np.argsort(k)
-            out.append((k[order], m[order]))
-        return out
-    return SuffixTree(split(entries, "gram"), split(contexts, "ctx"), rules)
+        level = level.groupBy(_lowest(F.col("gram"), j).alias("gram")).agg(F.sum("n").alias("n"))
+        # A context has at most 256 next bytes.
+        by_context = Window.partitionBy("ctx")
+        levels[j] = written(level.withColumn("ctx", F.shiftrightunsigned("gram", 8)).withColumn("total", F.sum("n").over(by_context))
+                            .withColumn("kinds", F.count("*").over(by_context)), f"runs{j}")
+        level = levels[j].select("gram", "n")
+
+    kept: list[DataFrame] = [levels[0]] * (rules.depth + 1)
+    longer = None
+    for j in range(rules.depth, 0, -1):
+        short = levels[j - 1].select(F.col("gram").alias("below"), (F.col("n") / F.col("total")).alias("share"))
+        g = 2 * F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("share")))
+        k = F.first("kinds").cast("double")
+        tested = (levels[j].withColumn("below", _lowest(F.col("gram"), j - 1)).join(short, "below")
+                  .groupBy("ctx").agg(F.first("total").alias("n"), F.first("kinds").alias("kinds"),
+                                      (g > k + rules.deviations * F.sqrt(2 * k)).alias("passed")))
+        if longer is not None:
+            ends = longer.select(_lowest(F.col("ctx"), j - 1).alias("ctx"), F.lit(True).alias("ends")).distinct()
+            tested = tested.join(ends, "ctx", "left").withColumn("passed", F.col("passed") | F.col("ends").isNotNull())
+        left = F.col("kinds") / (F.col("n") + F.col("kinds"))
+        kept[j] = longer = written(tested.filter("passed").select("ctx", "n", F.log10(left).alias("log")), f"states{j}")
+
+    root = np.ones(256)
+    for r in levels[0].collect():  # at most 256 bytes
+        root[r["gram"]] += r["n"]
+    root = np.log10(root / root.sum())
+    logs = F.array(*[F.lit(float(x)) for x in root])
+    below = levels[0].select("gram", F.get(logs, F.col("gram").cast("int")).alias("log"))
+    entries = states = None
+    for j in range(1, rules.depth + 1):
+        own = F.col("n") / (F.col("total") + F.col("kinds"))
+        smoothed = F.log10(own + F.col("kinds") / (F.col("total") + F.col("kinds")) * F.pow(F.lit(10.0), F.col("under")))
+        below = written(
+            levels[j].withColumn("short", _lowest(F.col("gram"), j - 1))
+            .join(below.select(F.col("gram").alias("short"), F.col("log").alias("under")), "short")
+            .join(kept[j].select("ctx", F.lit(True).alias("state")), "ctx", "left")
+            .select("gram", "n", F.when(F.col("state"), smoothed).otherwise(F.col("under")).alias("log"), F.coalesce("state", F.lit(False)).alias("own")),
+            f"entries{j}")
+        part = below.select(F.lit(j).alias("level"), "gram", "n", "log", "own")
+        state = kept[j].select(F.lit(j).alias("level"), "ctx", "n", "log")
+        entries = part if entries is None else entries.unionByName(part)
+        states = state if states is None else states.unionByName(state)
+    return Model(entries, states, root)
+
+
+def head(model: Model, total: int, rules: TreeRules) -> SuffixTree:
+    """What is broadcast of a model; at most ``entry_limit`` runs, and as many states at most, reach the driver."""
+    mine = model.entries.filter("own")  # a run whose context is no state is answered by a shorter one
+    least = mine.agg(F.count("*").alias("rows"), F.min("n").alias("n")).first()
+    rare = model.states.agg(F.min("n")).first()[0]
+    whole = (least["rows"] <= rules.entry_limit and (least["n"] or total) >= total * rules.entry_share
+             and (rare or total) >= total * rules.context_share)
+    if whole:
+        entries, states = mine, model.states
+    else:
+        entries, states = most_frequent(model.entries.filter(F.col("level") == rules.depth), rules.entry_limit), model.states.limit(0)
+
+    def split(table: pa.Table, name: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        level, key, log = (table.column(c).to_numpy() for c in ("level", name, "log"))
+        return [(j, key[level == j].astype(np.int64).view(np.uint64), log[level == j]) for j in range(1, rules.depth + 1)]
+    return SuffixTree(rules.depth, whole, model.root, split(entries.select("level", "gram", "log").toArrow(), "gram"),
+                      split(states.select("level", "ctx", "log").toArrow(), "ctx"))
+
+
+def grow(counts: DataFrame, rules: TreeRules) -> SuffixTree:
+    """What is broadcast of a corpus's model."""
+    total = counts.filter("kind = 1").agg(F.sum("n")).first()[0] or 0
+    return head(learn(counts, rules), total, rules)
+
+
+def run_logs(runs: DataFrame, model: Model, rules: TreeRules) -> DataFrame:
+    """(key, log) of distinct full runs ``key``: from the longest part that was seen, and the states above it that never saw it."""
+    full = model.entries.filter(F.col("level") == rules.depth).select(F.col("gram").alias("key"), "log")
+    met = written(runs.join(full, "key", "left"), "met")
+    levels = F.array(*[F.struct(F.lit(j).alias("level"), _lowest(F.col("key"), j).alias("gram")) for j in range(1, rules.depth + 1)])
+    parts = (met.filter("log is null").select("key", F.explode(levels).alias("x")).select("key", "x.level", "x.gram")
+             .withColumn("ctx", F.shiftrightunsigned("gram", 8))
+             .join(model.entries.select("level", "gram", "log"), ["level", "gram"], "left")
+             .join(model.states.select("level", "ctx", F.col("log").alias("leaves")), ["level", "ctx"], "left")
+             .groupBy("key").agg(F.max(F.when(F.col("log").isNotNull(), F.struct("level", "log"))).alias("seen"),
+                                 F.collect_list(F.struct("level", "leaves")).alias("passed")))  # one element a level
+    root = F.get(F.array(*[F.lit(float(x)) for x in model.root]), F.col("key").bitwiseAND(F.lit(255)).cast("int"))
+    passed = F.filter("passed", lambda x: x["level"] > F.coalesce(F.col("seen.level"), F.lit(0)))
+    unseen = parts.select("key", F.aggregate(passed, F.coalesce(F.col("seen.log"), root),
+                                             lambda s, x: s + F.coalesce(x["leaves"], F.lit(0.0))).alias("log"))
+    return met.filter("log is not null").select("key", "log").unionByName(unseen)
 
 
 def scores(docs: DataFrame, training: Column, rules: TreeRules = TreeRules(), doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,16 +341,33 @@ def scores(docs: DataFrame, training: Column, rules: TreeRules = TreeRules(), do
     train_tokens, vocabulary = n_words + n_texts, n_kinds + (n_texts > 0)
     spread = float(train_tokens + vocabulary + 1)
     vocabulary_counts = counts.filter("kind = 0").select("key", "n")
-    head = most_frequent(vocabulary_counts, HEAD_WORDS).toArrow()
-    head_words = head.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    head_logs = np.log10((head.column("n").to_numpy() + 1) / spread)
-    sent = spark.sparkContext.broadcast((grow(counts, rules).plain(), tx.HashTable(head_words, head_logs).plain()))
+    frequent = most_frequent(vocabulary_counts, HEAD_WORDS).toArrow()
+    head_words = frequent.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    head_logs = np.log10((frequent.column("n").to_numpy() + 1) / spread)
+    model = learn(counts, rules)
+    tree = head(model, sums.get(1, (0, 0))[0], rules)
+    whole = tree.whole
+    sent = spark.sparkContext.broadcast((tree.plain(), tx.HashTable(head_words, head_logs).plain()))
     end_log = float(np.log10((n_texts + 1) / spread))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, known = SuffixTree.of(sent.value[0]), tx.HashTable.of(sent.value[1])
         row = TaskContext.get().partitionId() << 40
-        names = ["row", "doc_id", "word", "n", "n_known", "base", "score"]
+        names = ["row", "doc_id", "word", "run", "n", "n_known", "base", "score"]
+
+        def rest(kind: int, keys: np.ndarray, who: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Rows of what is not known here, counted by text."""
+            order = np.lexsort((keys, who))
+            keys, who = keys[order], who[order]
+            begins = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])])) if len(keys) else []
+            if len(begins):
+                m = len(begins)
+                found = [pa.nulls(m, pa.int64())] * 2
+                found[kind] = pa.array(keys[begins].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + who[begins]), pa.nulls(m, pa.int64()), *found, pa.array(np.diff(np.append(begins, len(keys)))),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names=names)
+
         for batch in batches:
             ids = batch.column(0)
             for first, end, data, starts in tx.chunks(batch.column(1)):
@@ -307,28 +376,29 @@ def scores(docs: DataFrame, training: Column, rules: TreeRules = TreeRules(), do
                 owner = np.repeat(np.arange(n), np.diff(found.bounds))
                 base = np.bincount(owner[hit], weights=known.values[at[hit]], minlength=n) + end_log
                 n_known = np.bincount(owner[hit], minlength=n) + (n_texts > 0)
+                logs, runs, of = tree.judged(data, starts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), ids.slice(first, n), pa.nulls(n, pa.int64()), pa.array(np.diff(found.bounds) + 1),
-                     pa.array(n_known), pa.array(base), pa.array(tree.score(data, starts))], names=names)
-                rest, who = found.hashes[~hit], owner[~hit]
-                order = np.lexsort((rest, who))
-                rest, who = rest[order], who[order]
-                begins = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (who[1:] != who[:-1])])) if len(rest) else []
-                if len(begins):
-                    m = len(begins)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(row + who[begins]), pa.nulls(m, pa.int64()), pa.array(rest[begins].view(np.int64)),
-                         pa.array(np.diff(np.append(begins, len(rest)))), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
-                         pa.nulls(m, pa.float64())], names=names)
+                    [pa.array(np.arange(row, row + n)), ids.slice(first, n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                     pa.array(np.diff(found.bounds) + 1), pa.array(n_known), pa.array(base), pa.array(logs)], names=names)
+                yield from rest(0, found.hashes[~hit], owner[~hit])
+                yield from rest(1, runs, of)
                 row += n
 
-    schema = "row long, doc_id long, word long, n long, n_known long, base double, score double"
+    schema = "row long, doc_id long, word long, run long, n long, n_known long, base double, score double"
     judged = written(docs.select("doc_id", "text").mapInArrow(judge, schema), "judged")
     rare = (judged.filter("word is not null").select("row", F.col("word").alias("key"), F.col("n").alias("times"))
             .join(vocabulary_counts, "key", "left")
             .groupBy("row").agg(F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / spread)).alias("rare_log"),
                                 F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
-    return (judged.filter("word is null").join(rare, "row", "left")
+    out = judged.filter("word is null and run is null").join(rare, "row", "left")
+    if whole:
+        out = out.withColumn("run_log", F.lit(0.0))
+    else:
+        open_runs = judged.filter("run is not null").select("row", F.col("run").alias("key"), F.col("n").alias("times"))
+        logs = written(run_logs(open_runs.select("key").distinct(), model, rules), "logs")
+        out = out.join(open_runs.join(logs, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("run_log")), "row", "left")
+    return (out
             .select("doc_id", F.col("n").alias("n_tokens"), (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
                     F.lit(train_tokens).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("rare_log", F.lit(0.0))).alias("base_score"), "score"))
+                    (F.col("base") + F.coalesce("rare_log", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("run_log", F.lit(0.0))).alias("score")))

@@ -69,3 +69,15 @@ def test_defined_cases(spark):
     untaught = suffix_tree.scores(docs, docs["doc_id"] > 7).filter("doc_id = 1").first()
     assert (untaught.n_known, untaught.base_score) == (0, 0) and math.isclose(untaught.score, 4 * math.log10(1 / 256), rel_tol=1e-6)
     assert suffix_tree.scores(docs.limit(0), docs["doc_id"] == 1).count() == 0
+
+
+def test_what_is_broadcast_changes_no_score(spark, documents):
+    docs = documents.select("doc_id", "text").filter("doc_id % 4 = 0").limit(60)
+    def scored(**how):
+        out = suffix_tree.scores(docs, docs["doc_id"] % 3 > 0, suffix_tree.TreeRules(**how))
+        return sorted((r.doc_id, r.score) for r in out.collect())
+    whole = scored(context_share=0.0, entry_share=0.0, entry_limit=1 << 30)
+    for few in (dict(context_share=1e-2, entry_share=1e-3), dict(entry_limit=100), dict(entry_limit=0)):
+        part = scored(**few)
+        assert [d for d, _ in part] == [d for d, _ in whole]
+        assert all(math.isclose(a, b, rel_tol=1e-5) for (_, a), (_, b) in zip(part, whole))
