@@ -3,24 +3,26 @@
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed placeholders; case and punctuation go.
 Documents and benchmark items are cut into windows of ``window`` template words, hashed and joined by hash, so a question
 whose numbers or names were exchanged still meets its original. For windows with placeholders the values are then aligned: a
-pair is consistent if each value of the item stands for one value in the document throughout. Texts that only share
+set of windows is consistent if each value of the item stands for one value in the document throughout. Texts that only share
 a template by chance use the same slot differently and are not reported.
 
-A document is contaminated by an item when consistent windows number at least ``run`` (``run + window - 1`` words) or cover at
-least ``share`` of the item. Chance matches of a single window report nothing.
+A document is contaminated by an item when some consistent set of windows numbers at least ``run`` (``run + window - 1`` words) or covers at
+least ``share`` of the item. Chance matches of a single window report nothing. The sets looked at are all windows of the pair, those of each
+alignment (one distance between the places in document and item), those of neighbouring alignments at most ``window`` words
+apart (words put in or left out), and all windows whose values are equal. The figures are those of the largest consistent set.
 
 The join's sides are left to Spark's size check: the benchmark's windows are broadcast while small and shuffled beyond.
 Windows are pre-counted per document and item before anything is regrouped, and only documents with a matched
 placeholder are read again.
 
 Defined cases. Null and empty texts match nothing, items shorter than ``window`` template words are never matched. Rows of one
-id are one document (or item). Rows without id are not reported, and kept by ``drop_contaminated``. Empty tables are fine
+id are one document (or item), each aligned by itself. Rows without id are not reported, and kept by ``drop_contaminated``. Empty tables are fine
 on either side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm import native
@@ -46,51 +48,75 @@ def _is_slot(word: Column) -> Column:
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(id, pos, key, n_windows) of (id, words)."""
+    """(id, row, pos, key, n_windows) of (id, row, words)."""
     hashed = texts.withColumn(
-        "h", F.transform("words", lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))).select("id", "h")
-    cut = native.with_windows(hashed, "h", "w", window).select("id", F.size("h").alias("n_words"), "w")
+        "h", F.transform("words", lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))).select("id", "row", "h")
+    cut = native.with_windows(hashed, "h", "w", window).select("id", "row", F.size("h").alias("n_words"), "w")
     # The inner form would have Catalyst filter on the array's size below it, and compute the windows there once more.
-    return (cut.select("id", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "key"))
+    return (cut.select("id", "row", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "key"))
             .filter("key is not null"))
 
 
+PAIR = ["doc_id", "item_id"]
+ALIGNED = [*PAIR, "row", "part", "shift"]  # rows of a document's and an item's id, and the distance of their places
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, share: float = 0.5, doc: str = "doc_id",
             text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_matched, n_windows, n_slots and reparameterised of each contaminated pair."""
-    source = docs.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{text}`").alias("text")).filter("id is not null")
-    items = (benchmark.select(F.col(f"`{item}`").alias("id"), template_words(F.col(f"`{item_text}`")).alias("words"))
-             .filter("id is not null"))
-    known = _windows(items, window).select(F.col("id").alias("item_id"), F.col("pos").alias("at"), "key",
+    def rows(table: DataFrame, key: str, body: str) -> DataFrame:
+        return table.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{body}`")).alias("row"),
+                            F.col(f"`{body}`").alias("text")).filter("id is not null")
+    source = rows(docs, doc, text)
+    items = rows(benchmark, item, item_text).select("id", "row", template_words(F.col("text")).alias("words"))
+    known = _windows(items, window).select(F.col("id").alias("item_id"), F.col("row").alias("part"), F.col("pos").alias("at"), "key",
                                            F.col("n_windows").alias("n_item")).distinct()
-    windows = _windows(source.select("id", template_words(F.col("text")).alias("words")), window)
-    met = written(windows.select(F.col("id").alias("doc_id"), "pos", "key").join(known, "key")
-                  .select("doc_id", "item_id", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "windows")
-    counted = (met.groupBy("doc_id", "item_id").agg(F.count_distinct("at").alias("n_matched"), F.max("n_item").alias("n_windows"))
-               .filter((F.col("n_matched") >= run) | (F.col("n_matched") >= F.col("n_windows") * share)))
+    windows = _windows(source.select("id", "row", template_words(F.col("text")).alias("words")), window)
+    met = written(windows.select(F.col("id").alias("doc_id"), "row", "pos", "key").join(known, "key")
+                  .select(*PAIR, "row", "part", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "windows")
+    enough = (F.col("n_matched") >= run) | (F.col("n_matched") >= F.col("n_windows") * share)
+    counted = written(met.groupBy(*PAIR).agg(F.count_distinct("at").alias("n_matched"), F.max("n_item").alias("n_windows"))
+                      .filter(enough), "counted")
+    met = met.join(counted.select(*PAIR), PAIR, "left_semi")
 
     # Slots of the item that a matched window holds, with the document's value at the same place.
-    slots = (items.select(F.col("id").alias("item_id"), F.posexplode("words").alias("slot", "value"))
+    slots = (items.select(F.col("id").alias("item_id"), F.col("row").alias("part"), F.posexplode("words").alias("slot", "value"))
              .filter(_is_slot(F.col("value"))).distinct())
-    placed = written(
-        met.join(slots, "item_id").filter((F.col("slot") >= F.col("at")) & (F.col("slot") < F.col("at") + window))
-        .select("doc_id", "item_id", "slot", "value", (F.col("slot") + F.col("shift")).alias("there")).distinct(), "slots")
+    inside = (F.col("slot") >= F.col("at")) & (F.col("slot") < F.col("at") + window)
+    placed = written(met.join(slots, ["item_id", "part"]).filter(inside).select(*ALIGNED, "slot", "value").distinct(), "slots")
     if placed.isEmpty():  # nothing to align: no text is read again
-        return counted.select("doc_id", "item_id", F.col("n_matched").cast("long"), F.col("n_windows").cast("long"),
+        return counted.select(*PAIR, F.col("n_matched").cast("long"), F.col("n_windows").cast("long"),
                               F.lit(0).cast("long").alias("n_slots"), F.lit(False).alias("reparameterised"))
-    texts = source.join(placed.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
-    valued = (placed.join(texts.select(F.col("id").alias("doc_id"), template_words(F.col("text")).alias("words")), "doc_id")
-              .select("doc_id", "item_id", "slot", "value", F.coalesce(F.get("words", F.col("there")), F.lit("")).alias("found")))
-    uses = valued.groupBy("doc_id", "item_id").agg(
+    texts = source.join(placed.select(F.col("doc_id").alias("id"), "row").distinct(), ["id", "row"], "left_semi")
+    texts = texts.dropDuplicates(["id", "row"]).select(F.col("id").alias("doc_id"), "row", template_words(F.col("text")).alias("words"))
+    valued = written(placed.join(texts, ["doc_id", "row"])
+                     .select(*ALIGNED, "slot", "value", F.coalesce(F.get("words", F.col("slot") + F.col("shift")), F.lit("")).alias("found")),
+                     "values")
+
+    by_shift = Window.partitionBy(*PAIR, "row", "part").orderBy("shift")
+    far = F.coalesce(F.col("shift") - F.lag("shift").over(by_shift) > window, F.lit(True)).cast("int")
+    sets = (met.select(*ALIGNED).distinct().withColumn("far", far).withColumn("near", F.sum("far").over(by_shift))
+            .select(*ALIGNED, F.explode(F.array(F.lit(0).cast("long"), F.xxhash64(F.lit("near"), "row", "part", "near"),
+                                                F.xxhash64(F.lit("one"), "row", "part", "shift"))).alias("set")))
+    covered = met.join(sets, ALIGNED).groupBy(*PAIR, "set").agg(F.count_distinct("at").alias("n_matched"))
+    uses = valued.join(sets, ALIGNED).groupBy(*PAIR, "set").agg(
         F.count_distinct("slot").alias("n_slots"), F.count_distinct("value").alias("n_values"),
         F.count_distinct("value", "found").alias("n_pairs"),
         F.max((F.col("value") != F.col("found")).cast("int")).alias("changed"))
-    return (counted
-            .join(uses, ["doc_id", "item_id"], "left")
-            .filter("n_pairs is null or n_pairs = n_values")
-            .select("doc_id", "item_id", F.col("n_matched").cast("long"), F.col("n_windows").cast("long"),
-                    F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-                    (F.coalesce("changed", F.lit(0)) > 0).alias("reparameterised")))
+    aligned = (covered.join(uses, [*PAIR, "set"], "left").filter("n_pairs is null or n_pairs = n_values")
+               .select(*PAIR, "n_matched", F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("changed", F.lit(0)).alias("changed")))
+
+    keys = [F.col(f"m.{c}") == F.col(f"v.{c}") for c in ALIGNED]
+    held = (F.col("v.slot") >= F.col("m.at")) & (F.col("v.slot") < F.col("m.at") + window)
+    other = valued.filter("value != found").alias("v")
+    same = met.alias("m").join(other, [*keys, held], "left_anti")
+    verbatim = (same.alias("m").join(valued.alias("v"), [*keys, held], "left").groupBy("m.doc_id", "m.item_id")
+                .agg(F.count_distinct("m.at").alias("n_matched"), F.count_distinct("v.slot").alias("n_slots"), F.lit(0).alias("changed")))
+    best = F.max(F.struct("n_matched", "n_slots", "changed"))
+    return (aligned.unionByName(verbatim).join(counted.select(*PAIR, "n_windows"), PAIR).filter(enough)
+            .groupBy(*PAIR).agg(best.alias("x"), F.max("n_windows").alias("n_windows"))
+            .select(*PAIR, F.col("x.n_matched").cast("long").alias("n_matched"), F.col("n_windows").cast("long"),
+                    F.col("x.n_slots").cast("long").alias("n_slots"), (F.col("x.changed") > 0).alias("reparameterised")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", **how) -> DataFrame:

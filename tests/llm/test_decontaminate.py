@@ -41,3 +41,16 @@ def test_rows_without_id_empty_tables_and_other_columns(spark):
     assert [r.words for r in decontaminate.drop_contaminated(docs, items).collect()] == ["a"]
     assert decontaminate.matches(docs.limit(0), items).count() == 0
     assert decontaminate.matches(docs, items.limit(0)).count() == 0
+
+
+def test_alignments_are_judged_by_themselves(spark):
+    periodic = "say Tom has 3 apples, Anna has 5 apples, Bob has 7 apples, Kim has 9 apples, Joe has 4 apples, who has most of all the apples"
+    digits = "now add up 1 2 3 4 5 6 7 8 9 10 11 12 and say what the sum of all of them is"
+    shop = ITEMS[0][1]
+    other = shop.replace("Alice", "Carol").replace("3", "7").replace("4.50", "12")
+    items = spark.createDataFrame([(1, periodic), (2, digits), (3, shop)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"x {periodic}"), (2, digits), (3, f"{shop} And once more: {other}"), (4, f"{other} and {shop.replace('Alice', 'Dave')}"),
+         (5, "so " + other.replace("Carol make", "Dave make"))], SCHEMA)
+    out = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()}
+    assert out == {(1, 1), (2, 2), (3, 3), (4, 3)}
