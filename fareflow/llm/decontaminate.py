@@ -1,6 +1,8 @@
 """Benchmark decontamination by template windows, built-in functions only.
 
-Numbers, units after numbers, and names (capitalised words inside a sentence) become typed placeholders; case and punctuation go.
+Numbers, units after numbers, and names become typed placeholders; case, punctuation and the kind of white space go. Whether a
+capitalised word is a name can't be told for sure, so each window is read three ways: with all capitalised words but stop words as names, at
+every place; with the capitalised words inside a sentence as names; and without names, so other capitals don't hide a verbatim copy.
 Documents and benchmark items are cut into windows of ``window`` template words, hashed and joined by hash, so a question
 whose numbers or names were exchanged still meets its original. For windows with placeholders the values are then aligned: a
 set of windows is consistent if each value of the item stands for one value in the document throughout. Texts that only share
@@ -28,7 +30,16 @@ from pyspark.sql import functions as F
 from fareflow.llm import native
 from fareflow.llm.store import written
 
-NUMBER, NAME, UNIT, AFTER = "\ue001", "\ue002", "\ue003", "\ue004"
+# A name inside a sentence, a unit, a capitalised word elsewhere, and a capitalised stop word inside a sentence.
+NUMBER, NAME, UNIT, OPENING, INNER, AFTER = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005", "\ue006"
+NAMES = NAME + OPENING + INNER
+MARKS = NAMES + NUMBER + UNIT
+# The ways to read a window, by the marks that stand for names.
+READINGS = ((NAME, OPENING), (NAME, INNER), ())
+# Words that are capitalised without being names.
+STOPS = ("a an and as at but by can could did do does each every find for from given had has have he her his how i if in is it its let "
+         "many much no not of on one or our she should so some suppose that the their then there these they this those to two was we "
+         "were what when where which while who whose why will with would you your").split()
 # Units as they are written after a number.
 UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "hour", "minutes",
          "minute", "seconds", "second", "days", "day", "weeks", "years", "miles", "mile", "meters", "metres", "feet", "ft",
@@ -39,22 +50,46 @@ def template_words(text: Column) -> Column:
     """Lower-cased words; numbers, names and units carry a mark of their type in front of their value."""
     marked = F.regexp_replace(text, r"(?<![\p{L}\p{N}])(\p{Nd}+(?:[.,:/]\p{Nd}+)*)", f"{NUMBER}$1 ")
     marked = F.regexp_replace(marked, rf"({NUMBER}[^ ]* )\s*((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2 ")
-    marked = F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)", f"{NAME}$1")
-    return F.regexp_extract_all(F.lower(marked), F.lit(rf"{NUMBER}[^ ]+|[{NAME}{UNIT}]?[\p{{L}}\p{{N}}]+"), 0)
+    marked = F.regexp_replace(marked, r"(?U)\s+", " ")
+    capital = r"(\p{Lu}\p{Ll}+)"
+    marked = F.regexp_replace(marked, rf"(?<=[\p{{L}}\p{{N}},;:] )(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}])){capital}", f"{NAME}$1")
+    marked = F.regexp_replace(marked, rf"(?<=[\p{{L}}\p{{N}},;:] ){capital}", f"{INNER}$1")
+    marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{N}}{MARKS}])(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{L}}+)", f"{OPENING}$1")
+    return F.regexp_extract_all(F.lower(marked), F.lit(rf"{NUMBER}[^ ]+|[{NAMES}{UNIT}]?[\p{{L}}\p{{N}}]+"), 0)
 
 
 def _is_slot(word: Column) -> Column:
     return (word >= NUMBER) & (word < AFTER)
 
 
+def _bare(word: Column) -> Column:
+    """A word as it reads without name marks."""
+    return F.translate(word, NAMES, "")
+
+
+def _read(words: Column, names: tuple[str, ...]) -> Column:
+    """Hashes of words as one of ``READINGS`` has them: all names of a reading are one placeholder."""
+    def one(word: Column) -> Column:
+        mark = F.substring(word, 1, 1)
+        out = F.when(mark.isin(NUMBER, UNIT), mark)
+        return F.xxhash64((out.when(mark.isin(*names), F.lit(NAME)) if names else out).otherwise(_bare(word)))
+    return F.transform(words, one)
+
+
 def _windows(texts: DataFrame, window: int) -> DataFrame:
     """(id, row, pos, key, n_windows) of (id, row, words)."""
-    hashed = texts.withColumn(
-        "h", F.transform("words", lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))).select("id", "row", "h")
-    cut = native.with_windows(hashed, "h", "w", window).select("id", "row", F.size("h").alias("n_words"), "w")
+    df = texts.select("id", "row", "words")
+    for k, names in enumerate(READINGS):
+        df = df.withColumn(f"h{k}", _read(F.col("words"), names))
+    df = df.drop("words")
+    for k in range(len(READINGS)):
+        df = native.with_windows(df, f"h{k}", f"w{k}", window)
+    # Most windows read the same in every way.
+    keys = F.zip_with(F.zip_with("w0", "w1", lambda a, b: F.array(a, b)), F.col("w2"), lambda ab, c: F.array_distinct(F.concat(ab, F.array(c))))
+    cut = df.select("id", "row", F.size("h0").alias("n_words"), keys.alias("w"))
     # The inner form would have Catalyst filter on the array's size below it, and compute the windows there once more.
-    return (cut.select("id", "row", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "key"))
-            .filter("key is not null"))
+    return (cut.select("id", "row", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "keys"))
+            .select("id", "row", "n_windows", "pos", F.explode_outer("keys").alias("key")).filter("key is not null"))
 
 
 PAIR = ["doc_id", "item_id"]
@@ -81,7 +116,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6
 
     # Slots of the item that a matched window holds, with the document's value at the same place.
     slots = (items.select(F.col("id").alias("item_id"), F.col("row").alias("part"), F.posexplode("words").alias("slot", "value"))
-             .filter(_is_slot(F.col("value"))).distinct())
+             .filter(_is_slot(F.col("value"))).withColumn("value", _bare(F.col("value"))).distinct())
     inside = (F.col("slot") >= F.col("at")) & (F.col("slot") < F.col("at") + window)
     placed = written(met.join(slots, ["item_id", "part"]).filter(inside).select(*ALIGNED, "slot", "value").distinct(), "slots")
     if placed.isEmpty():  # nothing to align: no text is read again
@@ -90,7 +125,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6
     texts = source.join(placed.select(F.col("doc_id").alias("id"), "row").distinct(), ["id", "row"], "left_semi")
     texts = texts.dropDuplicates(["id", "row"]).select(F.col("id").alias("doc_id"), "row", template_words(F.col("text")).alias("words"))
     valued = written(placed.join(texts, ["doc_id", "row"])
-                     .select(*ALIGNED, "slot", "value", F.coalesce(F.get("words", F.col("slot") + F.col("shift")), F.lit("")).alias("found")),
+                     .select(*ALIGNED, "slot", "value",
+                             F.coalesce(_bare(F.get("words", F.col("slot") + F.col("shift"))), F.lit("")).alias("found")),
                      "values")
 
     by_shift = Window.partitionBy(*PAIR, "row", "part").orderBy("shift")

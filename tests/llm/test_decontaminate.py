@@ -54,3 +54,15 @@ def test_alignments_are_judged_by_themselves(spark):
          (5, "so " + other.replace("Carol make", "Dave make"))], SCHEMA)
     out = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()}
     assert out == {(1, 1), (2, 2), (3, 3), (4, 3)}
+
+
+def test_names_at_every_place(spark):
+    item = ("Alice sells apples to all of her friends in town. Alice buys pears from an old farmer every single week. "
+            "Alice keeps what is left over for her own kitchen. How much does she spend?")
+    other = item.replace("Alice", "Robert")
+    docs = [(1, item), (2, other), (3, item.replace(". ", ".\n\n")), (4, item.lower()), (5, item.upper()), (6, other.replace(" Robert", ' "Robert')),
+            (7, "we know that " + item.replace(" ", "  ")), (8, item.replace("Alice buys", "Robert buys").replace("Alice keeps", "Henry keeps"))]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = {r.doc_id: r for r in decontaminate.matches(spark.createDataFrame(docs, SCHEMA), items).collect()}
+    assert set(out) >= {1, 2, 3, 4, 5, 6, 7}
+    assert out[2].n_matched == out[2].n_windows == out[4].n_matched and out[2].reparameterised and not out[4].reparameterised
