@@ -84,10 +84,17 @@ class Block:
     boiler: bool
     heading: bool = False
     parts: list[str] = field(default_factory=list)
-    linked: int = 0
+    links: list[str] = field(default_factory=list)  # the parts inside links
 
     def text(self) -> str:
-        return " ".join(html.unescape("".join(self.parts)).split())
+        return _plain(self.parts)
+
+    def linked(self) -> int:
+        return len(_plain(self.links))
+
+
+def _plain(parts: list[str]) -> str:
+    return " ".join(html.unescape("".join(parts)).split())
 
 
 def _named(attributes: str) -> tuple[bool, bool]:
@@ -123,7 +130,7 @@ def blocks_of(page: str) -> list[Block]:
                 blocks.append(now)
             now.parts.append(piece)
             if links:
-                now.linked += len(piece.strip())
+                now.links.append(piece)
         if token is None:
             at = stop
             continue
@@ -174,7 +181,7 @@ def first_pass(block: Block, text: str, rules: Rules) -> bool | None:
     """True for content, False for boilerplate, None for open."""
     if block.boiler:
         return False
-    if block.linked > rules.most_links * len(text):
+    if block.linked() > rules.most_links * len(text):
         return False
     if len(text) < rules.short:
         return None

@@ -35,6 +35,15 @@ def test_broken_markup_and_empty_pages():
     assert len(main_text("<article>" + "<p>word " * 50_000)) == 50_000 * 5 - 1
 
 
+def test_links_are_measured_as_they_read():
+    link = "".join(f"&#{ord(c)};" for c in "привет")
+    words = "это первый абзац статьи и он достаточно длинный чтобы остаться в тексте страницы"
+    assert main_text(f"<article><p>{words} <a href=x>{link} {link}</a> {words}</p></article>") == f"{words} привет привет {words}"
+    wrapped = "<a href=x>one" + "\n" + " " * 200 + "two</a>"
+    assert main_text(f"<article><p>{words} {wrapped}</p></article>") == f"{words} one two"
+    assert main_text(f"<article><p>{words}</p><p>x <a href=x>{link}</a></p></article>") == words
+
+
 def test_articles_of_the_pages_table(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     wanted = {}
