@@ -2,13 +2,14 @@
 
 Known forms (``assign``, ``access``, ``hex``) are matched leftmost and without overlap, each form by itself.
 
-Other tokens: runs of at least ``SHORTEST`` characters of ``[A-Za-z0-9+/_=-]`` with a digit. Each gets the encoding its
-characters allow (hex, base32, lower or upper with digits, base64). Under "independent, uniform over that alphabet" three tests
+Other tokens: runs of at least ``SHORTEST`` characters of ``[A-Za-z0-9+/_=-]``. Each gets the encoding its
+characters allow (hex, lower, upper or mixed letters, base32, lower or upper with digits, base64). Under "independent, uniform over that alphabet" three tests
 are made: chi-squared of the character counts, number of runs above and below the alphabet's middle, and serial correlation;
 Fisher's method combines them, and a token that fails at ``MISFIT`` is not random. Under "ordinary text" the token's
 p-value is the bound 1 / likelihood ratio (uniform against a model in which characters follow their class and letters their usual
 frequency), which falls with length by itself. Benjamini and Hochberg's procedure at ``FDR`` then decides among all tokens
-of one length class (powers of two) in the whole table; the counts it needs are a histogram of bounded size.
+of one length class (powers of two) in the whole table, those with a digit and those without by themselves, so many long words don't
+raise the bar for the others; the counts it needs are a histogram of bounded size.
 
 Positions are code points, ends exclusive. Tokens that overlap a known form are left to that form.
 
@@ -31,7 +32,7 @@ SHORTEST_VALUE = 6
 KINDS = ("assign", "access", "hex", "random")
 
 SHORTEST = 16
-TOKEN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}+"
+TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{SHORTEST},}}+"
 MISFIT = 0.01
 FDR = 0.01
 BINS_PER_UNIT, LAST_BIN = 4, 800
@@ -39,6 +40,9 @@ BINS_PER_UNIT, LAST_BIN = 4, 800
 ALPHABETS = {
     "^[0-9a-f]+$": "0123456789abcdef",
     "^[0-9A-F]+$": "0123456789ABCDEF",
+    "^[a-z]+$": "abcdefghijklmnopqrstuvwxyz",
+    "^[A-Z]+$": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "^[A-Za-z]+$": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "^[A-Z2-7]+=*$": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "^[a-z0-9]+$": "abcdefghijklmnopqrstuvwxyz0123456789",
     "^[A-Z0-9]+$": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
@@ -103,7 +107,7 @@ def _class_of(char: Column) -> Column:
 
 
 def graded(token: Column) -> Column:
-    """struct(grade, bin): the length class, and 4 times minus the log of the p-value under ordinary text; bin 0 if not random."""
+    """struct(grade, bin): twice the length class, one more with a digit, and 4 times minus the log of the p-value under ordinary text; bin 0 if not random."""
     plain = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
     packed = F.struct(F.split(plain, "").alias("chars"), _alphabet(plain).alias("alphabet"))
 
@@ -143,7 +147,8 @@ def graded(token: Column) -> Column:
         ordinary = letters + switches * F.lit(-3.178054) + (n - 1 - switches) * F.lit(-0.133531)
         ratio = n * -F.log(size) - ordinary
         bin_ = F.when(fits, F.least(F.greatest(F.floor(ratio * BINS_PER_UNIT), F.lit(0)), F.lit(LAST_BIN))).otherwise(0).cast("int")
-        return F.struct(F.floor(F.log2(n)).cast("int").alias("grade"), bin_.alias("bin"))
+        digit = F.exists(chars, lambda c: _class_of(c) == 0).cast("int")
+        return F.struct((F.floor(F.log2(n)).cast("int") * 2 + digit).alias("grade"), bin_.alias("bin"))
 
     return _with(packed, lambda p: _with(with_marks(p), tests))
 
@@ -168,9 +173,9 @@ def scan(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def cutoffs(tested: DataFrame) -> dict[int, int]:
-    """By length class the smallest bin that Benjamini and Hochberg's procedure accepts; at most some 30 classes."""
+    """By length class the smallest bin that Benjamini and Hochberg's procedure accepts; at most some 60 classes."""
     counts = (tested.select(F.explode_outer("tested").alias("c")).filter("c is not null")
-              .groupBy("c.grade", "c.bin").agg(F.count("*").alias("n")).collect())  # a histogram of at most 31 * 801 rows
+              .groupBy("c.grade", "c.bin").agg(F.count("*").alias("n")).collect())  # a histogram of at most 62 * 801 rows
     by_grade: dict[int, dict[int, int]] = {}
     for r in counts:
         by_grade.setdefault(r["grade"], {})[r["bin"]] = r["n"]

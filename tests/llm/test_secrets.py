@@ -53,6 +53,17 @@ def test_random_tokens_are_added_and_others_are_not(spark):
     assert not any(added[1000 + i] for i in range(len(plain_ones) * 5))
 
 
+def test_tokens_without_a_digit(spark):
+    rng = random.Random(5)
+    tokens = ["".join(rng.choices(string.ascii_letters, k=n)) for n in (16, 20, 24, 32, 40, 64) for _ in range(10)]
+    words = ["internationalization", "incomprehensibilities", "counterrevolutionary", "state-of-the-art-thing", "path/to/some/other/file", "a" * 30]
+    rows = [(i, f"some text {t} and more") for i, t in enumerate(tokens)] + [(1000 + i, f"text {t} more") for i, t in enumerate(words * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {r.doc_id: [tuple(s) for s in r.added] for r in secrets.find_secrets(df).collect()}
+    assert sum(added[i] == [(10, 3, 10 + len(t))] for i, t in enumerate(tokens)) >= 50
+    assert not any(added[1000 + i] for i in range(len(words) * 10))
+
+
 def test_empty_table_and_other_columns(spark):
     df = spark.createDataFrame([(1, "token=abcdef", "x")], "doc_id long, text string, known string")
     assert secrets.find_secrets(df).count() == 1
