@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, secrets, suffix_tree, toxicity, url_rules
-from fareflow.llm.store import table
+from fareflow.llm import (decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, secrets, suffix_tree,
+                          token_alignment, toxicity, url_rules)
+from fareflow.llm.store import table, written
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
 
@@ -135,7 +136,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), capacity=2048)
 
 
+# --- 12 cross-tokenizer alignment
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    stored = written(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    counts = written(token_alignment.pair_counts(stored, token_alignment.b_size()), "counted-pairs")
+    return token_alignment.with_counts(stored, counts).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op3_benchmark_decontamination, op4_toxicity,
                                     op5_ngram_jaccard_join, op6_html_extraction, op7_lm_scoring, op8_document_fingerprints, op9_secret_scan,
-                                    op10_packing)}
+                                    op10_packing, op12_token_alignment)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}
