@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import (decontaminate, fingerprints, html_text, line_dedup, ngram_join, packing, secrets, suffix_tree,
-                          token_alignment, toxicity, url_rules)
+from fareflow.llm import (collocations, decontaminate, fingerprints, html_text, line_dedup, minhash, ngram_join, packing,
+                          secrets, suffix_tree, token_alignment, toxicity, url_rules)
 from fareflow.llm.store import table, written
 
 UPPER, LOWER = url_rules.UPPER, url_rules.LOWER
@@ -136,6 +136,47 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), capacity=2048)
 
 
+# --- 11 phrase collocations
+
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"), least=100, longest=5, top=2000)
+
+
+def _runs(size: int) -> str:
+    """Phrases of ``size`` words of all pieces."""
+    words = " || ' ' || ".join(f"words[i + {k}]" if k else "words[i]" for k in range(size))
+    return (f"SELECT lang, {size} AS k, {words} AS phrase FROM (SELECT lang, words, unnest(range(1, len(words) - {size - 2})) AS i "
+            f"FROM pieces WHERE len(words) >= {size})")
+
+
+def _part(low: int, high: int) -> str:
+    return f"array_to_string(list_slice(words, {low}, {high}), ' ')"
+
+
+OP11_SQL = f"""
+WITH cut AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM cut),
+found AS ({' UNION ALL '.join(_runs(k) for k in range(1, 6))}),
+totals AS (SELECT lang, count(*) AS n FROM found WHERE k = 1 GROUP BY lang),
+freq AS (SELECT lang, k, phrase, count(*) AS a FROM found GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cand AS (SELECT *, string_split(phrase, ' ') AS words FROM freq WHERE k >= 2),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM cand),
+parts AS (SELECT c.lang, c.k, c.phrase, c.a, c.words, cut, l.a AS l, r.a AS r, t.n,
+    CAST((1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN freq l ON l.lang = c.lang AND l.phrase = {_part(1, 'cut')} AND l.k = cut
+  JOIN freq r ON r.lang = c.lang AND r.phrase = {_part('cut + 1', 'c.k')} AND r.k = c.k - cut),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS pick FROM parts),
+longer AS (SELECT lang, part, max(a) AS longer FROM (SELECT lang, a,
+    unnest([{_part(1, 'k - 1')}, {_part(2, 'k')}]) AS part FROM cand WHERE k > 2) GROUP BY lang, part),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.part = b.phrase
+  WHERE pick = 1 AND (o.longer IS NULL OR 100 * o.longer < 100 * b.a))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 # --- 12 cross-tokenizer alignment
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +188,13 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+# --- 13 MinHash near-dedup
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_url_rules, op3_benchmark_decontamination, op4_toxicity,
                                     op5_ngram_jaccard_join, op6_html_extraction, op7_lm_scoring, op8_document_fingerprints, op9_secret_scan,
-                                    op10_packing, op12_token_alignment)}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL}
+                                    op10_packing, op11_phrase_collocations, op12_token_alignment, op13_minhash_dedup)}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op2_url_rules": OP2_SQL, "op11_phrase_collocations": OP11_SQL}
