@@ -8,9 +8,9 @@
    a pair at or above the threshold with probability 1e-9 at most, then on their full sets. A hub's star is dealt in blocks.
    Links make components. A group of near copies, however large, is one component after this, without a pair of members put out.
 4. Second round: buckets whose members are not all joined are looked at again, as a link may join two members neither of
-   which is the centre. Each class is placed in its largest such bucket, in blocks of ``block`` members; what did not join its
-   bucket's main part visits all blocks of the places it shares a bucket with. In a task a visitor meets a block's minima
-   at once, and the sets of those that pass.
+   which is the centre. Each class is placed in its largest such bucket, in blocks of ``block`` members. Of each bucket, what did not
+   join its main part visits all blocks of the places its members have; a pair not joined yet has such a visitor. In a task a
+   visitor meets a block's minima at once, and the sets of those that pass.
 5. Components of both rounds' links; each round of stars is written.
 
 Sets are read again from the texts of the classes that meet another one, so they travel only then.
@@ -243,12 +243,11 @@ def strays(met: DataFrame, labels: DataFrame, rule: MinHash) -> DataFrame:
     blocks = F.ceil(F.col("members") / rule.block).cast("long")
     placed = written(placed.join(placed.groupBy("cell").agg(F.count("*").alias("members")), "cell").withColumn("blocks", blocks)
                      .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks"))), "placed")
-    main = written(placed.groupBy("cell", "blocks", "root").agg(F.count("*").alias("k")).groupBy("cell", "blocks")
-                   .agg(F.max_by("root", "k").alias("main")), "main-parts")
+    main = written(left.groupBy("key", "root").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("root", "k").alias("main")), "main-parts")
+    outside = left.join(main, "key").filter("root != main").select("key", "cls", "root")
     places = left.select("key", "cls").join(placed.select("cls", "cell"), "cls").select("key", "cell").distinct()
-    visits = left.select("key", "cls").join(places, "key").select("cls", "cell").distinct()
-    own = placed.select("cls", "root", F.col("cell").alias("home")).join(main.select(F.col("cell").alias("home"), F.col("main").alias("home_main")), "home")
-    visits = (visits.join(own, "cls").join(main, "cell").filter("root != main or root != home_main")
+    visits = outside.join(places, "key").select("cls", "root", "cell").distinct()
+    visits = (visits.join(placed.select("cell", "blocks").distinct(), "cell")
               .select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "cls", "root"))
     visits = written(visits, "visits")
     members = placed.join(visits.select("cell", "block").distinct(), ["cell", "block"], "left_semi").select(
