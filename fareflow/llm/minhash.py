@@ -129,8 +129,23 @@ def sign(docs: DataFrame, rule: MinHash) -> DataFrame:
 
 
 def buckets(signed: DataFrame) -> DataFrame:
-    """(key, cls, size, centre): the classes of each key that several share; of keys with the same classes only one."""
-    held = written(signed.select(F.explode("keys").alias("key"), "cls").distinct(), "keys")
+    """(key, cls, size, centre): the classes of each key that several share; of keys with the same classes only one.
+
+    Keys are first counted alone; a Bloom filter of those met twice keeps the rest from travelling with their classes.
+    """
+    counts = written(signed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key-counts")
+    carried = signed.sparkSession.sparkContext.broadcast(needed_filter(counts.select(F.col("key").alias("h"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            keys, row = lists.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            at = np.flatnonzero(may_hold(carried.value, keys.view(np.uint64)))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy()[row[at]]), pa.array(keys[at])], names=["cls", "key"])
+
+    held = signed.filter("keys is not null").select("cls", "keys").mapInArrow(pick, "cls long, key long")
+    held = written(held.join(counts, "key").select("key", "cls").distinct(), "keys")
     shared = held.groupBy("key").agg(
         F.count("*").alias("size"), F.min("cls").alias("centre"), F.bit_xor(F.xxhash64("cls")).alias("x"),
         F.bit_xor(F.xxhash64("cls", F.lit(7))).alias("y")).filter("size > 1")
