@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.blocks import BLOCKS, rnd
 from checks.registry import query, register
 from fareflow.operators.keyed import latest_by
-from fareflow.plans import audit
+from fareflow.plans import audit, events
 from fareflow.session import shared_dir
 from fareflow.sources import files, fixtures, sinks
 
@@ -183,7 +183,7 @@ for _partial, _name, _ok in ((False, "success_rate", "('SUCCESS')"), (True, "suc
     register(_name, lambda w, p=_partial: audit.success_rate(_runs(w), p), f"""
 SELECT {rnd(f"avg(CASE WHEN status IN {_ok} THEN 1.0 ELSE 0.0 END)", 'success_rate')} FROM run_state WHERE status <> 'RUNNING'""")
 register("median_duration", lambda w: audit.median_duration(_runs(w)),
-         f"SELECT {rnd('quantile_cont(nullif(round(duration_seconds, 3), 0), 0.5)', 'median_duration')} FROM run_state")
+         f"SELECT {rnd('quantile_cont(nullif(duration_seconds, 0), 0.5)', 'median_duration')} FROM run_state")
 
 # --- quality and errors ------------------------------------------------------
 
@@ -244,7 +244,7 @@ register("audit_views", lambda w: audit.audit_kpis(
 SELECT count(*) AS runs,
   (SELECT {rnd("avg(CASE WHEN status IN ('SUCCESS', 'PARTIAL_SUCCESS') THEN 1.0 ELSE 0.0 END)", 'x')} FROM run_state
    WHERE status <> 'RUNNING') AS success_rate,
-  {rnd('quantile_cont(nullif(round(duration_seconds, 3), 0), 0.5)', 'median_duration')},
+  {rnd('quantile_cont(nullif(duration_seconds, 0), 0.5)', 'median_duration')},
   (SELECT count(*) FROM log WHERE status = 'FAILED') AS failed_datasets,
   (SELECT count(*) FROM log WHERE status = 'FAILED') AS failed_rules,
   (SELECT CAST(sum(event_id % 4) AS BIGINT) FROM (SELECT max(event_id) AS event_id FROM log GROUP BY layer)) AS missing_expected
@@ -276,18 +276,59 @@ def _(w):
     return with_layer.select("event_id", "execution_id", layer.alias("layer"), "status", "duration_seconds", "written_at")
 
 
-@query("event_frames", """
-SELECT layer, status, count(*) AS n, min(written_at) AS first_written FROM log WHERE event_id % 13 <> 0 GROUP BY ALL""")
+def event_log(w) -> dict:
+    """Event rows of every kind, built from the run log, written and read back."""
+    root, log = scratch(w, "frames"), _log(w)
+    runs = log.select("execution_id", "layer", F.col("event_type").alias("execution_type"), "metrics", "event_type", "event_id",
+                      F.col("ts").alias("started_at"), (F.col("ts") + F.expr("INTERVAL 1 SECOND * (event_id % 90)")).alias("finished_at"),
+                      F.when(F.col("event_type") == "error", F.repeat(F.lit("late "), 1000)).alias("error_message"))
+    failed = F.col("event_type") == "error"
+    events.append(events.runs_started(runs), root, "pipeline_run")
+    events.append(events.runs_finished(runs.filter(~failed).withColumn("status", F.lit("SUCCESS"))), root, "pipeline_run")
+    events.append(events.runs_finished(runs.filter(failed).drop("metrics"), failed=True), root, "pipeline_run")
+    events.append(events.runs_linked(runs.filter("event_id % 10 = 0").select(
+        "execution_id", F.concat(F.lit("parent-"), "execution_id").alias("parent_execution_id"), "layer", F.col("finished_at").alias("updated_at"))),
+        root, "pipeline_run")
+    events.append(events.dataset_events(_datasets(w)), root, "dataset_event")
+    events.append(events.quality_events(_quality(w)), root, "quality_event")
+    counts = log.select("execution_id", "layer", F.col("ts").alias("checked_at"), (F.col("event_id") % 5).alias("expected_count"),
+                        (F.col("event_id") % 4).alias("ready_count"), (F.col("event_id") % 2).alias("not_applicable_count"),
+                        (F.col("event_id") % 3).alias("not_published_count"),
+                        F.when(F.col("event_id") % 4 == 1, F.array(F.lit("x"))).alias("missing"))
+    events.append(events.coverage_snapshots(counts), root, "coverage_snapshot")
+    events.append(events.download_attempts(_attempts(w).withColumn("started_at", F.col("attempted_at"))), root, "download_attempt")
+    return events.read(w.spark, root)
+
+
+@query("event_frames", f"""
+WITH runs AS (
+  SELECT layer, 'RUNNING' AS state, ts AS written_at, 0 AS seconds, 0 AS measure FROM log UNION ALL
+  SELECT layer, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END, ts + INTERVAL 1 SECOND * (event_id % 90), event_id % 90,
+    CASE WHEN event_type = 'error' THEN 4000 ELSE 0 END FROM log UNION ALL
+  SELECT layer, NULL, ts + INTERVAL 1 SECOND * (event_id % 90), 0, 0 FROM log WHERE event_id % 10 = 0),
+scoped AS (SELECT *, greatest(event_id % 5 - event_id % 2 - event_id % 3, 0) AS scope, event_id % 4 AS ready, event_id % 4 = 1 AS lacks FROM log),
+whole AS (SELECT 'pipeline_run' AS kind, * FROM runs UNION ALL
+  SELECT 'dataset_event', layer, status, ts, 0, event_id % 9 FROM log UNION ALL
+  SELECT 'quality_event', layer, status, ts, 0, coalesce(affected_rows, 0) FROM log UNION ALL
+  SELECT 'coverage_snapshot', layer, CASE WHEN scope = 0 THEN 'NO_SCOPE' WHEN NOT lacks AND ready >= scope THEN 'COMPLETE' ELSE 'PARTIAL' END, ts,
+    CASE WHEN scope > 0 THEN ready / scope ELSE 0 END, CASE WHEN lacks THEN 1 ELSE 0 END FROM scoped UNION ALL
+  SELECT 'download_attempt', 'bronze', CASE event_type WHEN 'view' THEN 'SUCCESS' WHEN 'error' THEN 'EXHAUSTED' ELSE 'RETRY' END, ts,
+    coalesce(duration_seconds, 0), event_id % 4 FROM log)
+SELECT kind, layer, state, count(*) AS n, min(written_at) AS first_written, {rnd('sum(seconds)', 'seconds')},
+  CAST(sum(measure) AS BIGINT) AS measure FROM whole GROUP BY ALL""")
 def _(w):
-    root = scratch(w, "frames")
-    log = _log(w).filter("event_id % 13 <> 0")
-    for kind, df in (("pipeline_run", log), ("dataset_event", _datasets(w)), ("quality_event", _quality(w).drop("context")),
-                     ("download_attempt", _attempts(w))):
-        stamp = next(F.col(c) for c in ("written_at", "recorded_at", "checked_at", "attempted_at") if c in df.columns)
-        sinks.append_events(df.drop("metrics"), root, kind, at=stamp)
-    back = files.read_event_log(w.spark, f"{root}/pipeline_run").withColumn(
-        "layer", F.regexp_extract("source_file", "layer=([a-z]+)", 1))
-    return back.groupBy("layer", "status").agg(F.count(F.lit(1)).alias("n"), F.min("written_at").alias("first_written"))
+    log = event_log(w)
+    picked = {  # state, seconds and measure of each kind
+        "pipeline_run": ("status", "duration_seconds", F.length("error_message")), "dataset_event": ("status", F.lit(0.0), "parquet_files"),
+        "quality_event": ("status", F.lit(0.0), "failed_rows"), "coverage_snapshot": ("status", "coverage_rate", "missing_count"),
+        "download_attempt": ("outcome", "duration_seconds", "retry_number")}
+    frames = []
+    for kind, (state, seconds, measure) in picked.items():
+        seconds, measure = (F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0)) for c in (seconds, measure))
+        frames.append(log[kind].select(
+            F.lit(kind).alias("kind"), "layer", F.col(state).alias("state"), "written_at", seconds.cast("double").alias("s"), measure.cast("long").alias("m")))
+    return audit.union_all(frames).groupBy("kind", "layer", "state").agg(
+        F.count(F.lit(1)).alias("n"), F.min("written_at").alias("first_written"), F.sum("s").alias("seconds"), F.sum("m").alias("measure"))
 
 
 def _manifests(w):

@@ -1,4 +1,4 @@
 """Everything registered."""
 
-from checks import audit, dashboards, gold, ingestion, models, silver  # noqa: F401
+from checks import audit, dashboards, gold, ingestion, models, silver, views  # noqa: F401
 from checks.registry import ORACLES, QUERIES  # noqa: F401

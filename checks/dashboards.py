@@ -66,6 +66,14 @@ SELECT service_type, array_to_string(list_sort(list_filter([1993, 1994, 1995, 19
   lambda y: NOT list_contains(covered, y))), '|') AS missing_years, {_LABEL} AS service_label
 FROM (SELECT service_type, list(DISTINCT source_year) AS covered FROM m_executive GROUP BY ALL)
 WHERE missing_years <> ''""")
+register("declared_coverage", lambda w: d.declared_coverage(
+    w.stored_mart("executive_monthly"), range(1995, 2003), {"fhvhv": (1996, 1997), "green": (1995, 1996, 1997, 1998)}), f"""
+WITH selected AS (SELECT *, CASE service_type WHEN 'fhvhv' THEN [1996, 1997] WHEN 'green' THEN [1995, 1996, 1997, 1998]
+    ELSE range(1995, 2003) END AS declared FROM m_executive)
+SELECT service_type, {_LABEL} AS service_label, CASE service_type WHEN 'fhvhv' THEN '1995|1998|1999|2000|2001|2002'
+    ELSE '1999|2000|2001|2002' END AS missing_years,
+  CAST(coalesce(sum(trip_count) FILTER (NOT list_contains(declared, source_year) AND source_year BETWEEN 1995 AND 2002), 0) AS BIGINT) AS trips_left_out
+FROM selected WHERE service_type IN ('fhvhv', 'green') GROUP BY service_type""")
 
 # --- geography ---------------------------------------------------------------
 

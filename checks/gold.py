@@ -8,6 +8,7 @@ from checks.blocks import MART_BLOCKS, rnd, rounded
 from checks.registry import query, register
 from fareflow.functions import clean as c
 from fareflow.plans import marts, star
+from fareflow.sources.sinks import staged
 
 _ROUNDED = {
     "average_duration_seconds", "average_distance_miles", "average_speed_mph", "service_share", "fare_amount",
@@ -55,6 +56,19 @@ for _name in marts.MARTS:
             lambda w, n=_name: marts.roll_up_mart(n, marts.activity_rollup(w.fact("trip_activity")), w.dim_zone()),
             mart_sql(_name),
         )
+    if _name in marts.PERCENTILE_MARTS and _name != "hvfhv_service_quality":
+        register(
+            f"rollup_{_name}",
+            lambda w, n=_name: marts.roll_up_percentiles(n, w.values(marts.PERCENTILE_MARTS[n]), w.dim_zone()), mart_sql(_name))
+
+
+@query("rollup_hvfhv_service_quality", mart_sql("hvfhv_service_quality"))
+def _(w):
+    coded = w.fact("hvfhv_operations").withColumn(
+        "provider_key", F.coalesce("hvfhs_license_num", "dispatching_base_num", "originating_base_num"))
+    values = staged(marts.value_counts("hvfhv_waits", coded), "coded-waits")
+    return marts.roll_up_percentiles("hvfhv_service_quality", values, w.dim_zone()).withColumnRenamed("provider_key", "provider_code")
+
 
 # --- dimensions --------------------------------------------------------------
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.audit import scratch
@@ -10,7 +13,7 @@ from checks.registry import query, register
 from checks.silver import PERIOD, PERIOD_SQL, all_flagged
 from fareflow.operators import quality
 from fareflow.plans import ingestion, marts, trips
-from fareflow.sources import files, fixtures, sinks
+from fareflow.sources import file_facts, files, fixtures, sinks
 
 from fareflow.streaming.incremental import incremental_trips
 
@@ -118,7 +121,11 @@ def _(w):
 # --- contracts ---------------------------------------------------------------
 
 @query("contract_check", """
-SELECT 'yellow' AS service, problem, field, col AS column, observed, accepted, n AS rows
+SELECT 'yellow' AS service, problem, field, col AS column, observed, accepted, n AS rows, sha256(concat_ws(chr(10), 'airport_fee:double',
+  'cbd_congestion_fee:double', 'congestion_surcharge:double', 'fare_amount:double', 'improvement_surcharge:double', 'mta_tax:double',
+  'passenger_count:double', 'payment_type:long', 'pulocationid:string', 'ratecodeid:long', 'store_and_fwd_flag:string', 'surge:double',
+  'tip_amount:double', 'tolls_amount:double', 'total_amount:double', 'tpep_dropoff_datetime:timestamp_ntz',
+  'tpep_pickup_datetime:timestamp_ntz', 'trip_distance:double', 'vendorid:integer')) AS schema_hash
 FROM (VALUES ('MISSING_REQUIRED', 'dropoff_location_id', NULL, NULL, NULL),
   ('TYPE_MISMATCH', 'pickup_location_id', 'PULocationID', 'string', 'byte,short,integer,integer,long'),
   ('MISSING_OPTIONAL', 'extra', NULL, NULL, NULL), ('NEW_COLUMN', NULL, 'surge', NULL, NULL)) v(problem, field, col, observed, accepted),
@@ -344,10 +351,36 @@ register("distinct_by_key",
          lambda w: files.normalize_bases(w.references().bases.unionByName(w.references().bases)).select("base_license_number", "base_name"),
          "SELECT base_license_number, base_name FROM bases")
 
-register("file_fingerprint", lambda w: files.file_fingerprint(w.spark, f"{w.sf_dir}/orders.parquet").unionByName(
-    files.file_fingerprint(w.spark, f"{w.sf_dir}/lineitem.parquet")))
-register("dataset_inventory", lambda w: files.dataset_inventory(w.table("lineitem"), "lineitem", "raw").unionByName(
-    files.dataset_inventory(w.table("orders"), "orders", "raw")).drop("latest_modified_at"))
+register("file_fingerprint", lambda w: file_facts.file_fingerprint(w.spark, w.sf_dir))
+
+
+@query("schema_history", """
+WITH periods AS (SELECT DISTINCT service_type AS service, source_year AS year, source_month AS month,
+    CASE WHEN source_year < 1997 THEN 1 WHEN source_year < 1999 THEN 2 WHEN source_year < 2000 THEN 3 ELSE 4 END AS era FROM raw),
+firsts AS (SELECT service, era, min(year * 100 + month) AS p FROM periods GROUP BY ALL)
+SELECT service, CAST(p // 100 AS INT) AS year, CAST(p % 100 AS INT) AS month, 1 AS schemas_in_period,
+  CAST(CASE era WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 1 END AS INT) AS n_columns,
+  CASE era WHEN 1 THEN 'source_record' WHEN 2 THEN 'surge' ELSE '' END AS added, CASE era WHEN 4 THEN 'surge' ELSE '' END AS removed,
+  CASE era WHEN 3 THEN 'surge:int64' ELSE '' END AS retyped FROM firsts""")
+def _(w):
+    root, period = scratch(w, "drifting"), ["service", "year", "month"]
+    trips_ = [w.raw(s).select("source_record", F.lit(s).alias("service"), F.col("source_year").alias("year"), F.col("source_month").alias("month"))
+              for s in SERVICES]
+    whole = sinks.staged(trips_[0].unionByName(trips_[1]).unionByName(trips_[2]).unionByName(trips_[3]), "raw-periods")
+    for where, surge in (("year < 1997", None), ("year IN (1997, 1998)", "int"), ("year = 1999", "bigint"), ("year >= 2000", None)):
+        part = whole.filter(where)
+        sinks.write_partitions(part if surge is None else part.withColumn("surge", F.col("month").cast(surge)), root, period)
+    facts = file_facts.file_facts(w.spark, root, "columns")
+    return file_facts.schema_history(file_facts.file_schemas(facts)).drop("schema_hash", "previous_hash", "files").withColumn(
+        "schemas_in_period", F.col("schemas_in_period").cast("int"))
+
+
+def _inventories(w):
+    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    return reduce(DataFrame.unionByName, [files.dataset_inventory(w.table(n), n, "raw") for n in names])
+
+
+register("dataset_inventory", lambda w: _inventories(w).drop("latest_modified_at"))
 
 _HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 BLOCKS["links"] = r"""
@@ -382,12 +415,13 @@ def _(w):
     return files.trip_file_candidates(files.links_from_pages(pages, ["files.example.org"]))
 
 
-@query("write_split", "SELECT 'curated' AS part, count(*) AS n FROM fhv_trips WHERE n_errors = 0 UNION ALL "
-                      "SELECT 'rejected', count(*) FROM fhv_trips WHERE n_errors > 0")
+@query("write_split", "SELECT 'curated' AS part, source_year, count(*) AS n FROM fhv_trips WHERE n_errors = 0 GROUP BY ALL UNION ALL "
+                      "SELECT 'rejected', source_year, count(*) FROM fhv_trips WHERE n_errors > 0 GROUP BY ALL")
 def _(w):
-    paths = sinks.write_split(w.flagged("fhv"), scratch(w, "split"), ["source_year"])
-    parts = [w.spark.read.parquet(paths[n]).select(F.lit(n).alias("part")) for n in ("curated", "rejected")]
-    return parts[0].unionByName(parts[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    root = sinks.write_split(w.flagged("fhv"), scratch(w, "split"), ["source_year"])
+    parts = [sinks.split_part(w.spark, root, n).select(F.lit(n).alias("part"), F.col("source_year").cast("long").alias("source_year"))
+             for n in ("curated", "rejected")]
+    return parts[0].unionByName(parts[1]).groupBy("part", "source_year").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("write_fact", f"""

@@ -56,6 +56,31 @@ register("zone_hourly_demand_features", lambda w: w.event_features(), f"SELECT {
 register("zone_hourly_demand_features_trips",
          lambda w: features.zone_hourly_demand_features(w.fact("trip_activity"), w.dim_zone()),
          f"SELECT {_DEMAND} FROM trip_features")
+_RISK = """
+SELECT request_to_pickup_seconds AS wait, CASE WHEN request_to_pickup_seconds > 600 THEN 1 ELSE 0 END AS label,
+  (request_to_pickup_seconds * 7 + driver_wait_seconds) % 101 AS score FROM hv_ops
+WHERE request_to_pickup_seconds IS NOT NULL AND driver_wait_seconds IS NOT NULL"""
+
+
+@query("classifier_metrics", f"""
+WITH risk AS ({_RISK}), counts AS (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM risk GROUP BY score),
+curve AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM counts WINDOW w AS (ORDER BY score DESC)),
+areas AS (SELECT sum(pos * (coalesce((tp - pos) / nullif(tp - pos + fp - neg, 0), tp / (tp + fp)) + tp / (tp + fp)) / 2) / sum(pos) AS auc_pr,
+  sum(neg * (tp - pos + tp) / 2) / (sum(pos) * sum(neg)) AS auc_roc FROM curve),
+cells AS (SELECT count(*) FILTER (label = 1 AND score >= 50) AS tp, count(*) FILTER (label = 0 AND score >= 50) AS fp,
+  count(*) FILTER (label = 1 AND score < 50) AS fn, count(*) FILTER (label = 0 AND score < 50) AS tn, count(*) AS n FROM risk),
+parts AS (SELECT *, tp / (tp + fp) AS p1, tp / (tp + fn) AS r1, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0 FROM cells)
+SELECT {rnd('auc_pr')}, {rnd('auc_roc')}, {rnd('((tp + fn) * 2 * p1 * r1 / (p1 + r1) + (tn + fp) * 2 * p0 * r0 / (p0 + r0)) / n', 'f1')},
+  {rnd('((tp + fn) * p1 + (tn + fp) * p0) / n', 'precision')}, {rnd('((tp + fn) * r1 + (tn + fp) * r0) / n', 'recall')},
+  {rnd('(tp + tn) / n', 'accuracy')} FROM areas, parts""")
+def _(w):
+    waits = w.fact("hvfhv_operations").filter("request_to_pickup_seconds IS NOT NULL AND driver_wait_seconds IS NOT NULL")
+    score = (F.col("request_to_pickup_seconds") * 7 + F.col("driver_wait_seconds")) % 101
+    return learning.curve_metrics(waits.select(
+        score.cast("double").alias("score"), (F.col("request_to_pickup_seconds") > 600).cast("double").alias("label"),
+        (score >= 50).cast("double").alias("prediction")))
+
+
 register("zone_hour_counts", lambda w: features.zone_hour_counts(fixtures.event_trips(w.spark, w.sf_dir)),
          "SELECT * FROM event_hours")
 
@@ -123,10 +148,10 @@ _WAIT = "average_request_to_pickup_seconds shared_match_share wav_match_share"
 _PICKUP = "average_duration_seconds average_distance_miles average_speed_mph night_trip_share weekend_trip_share airport_trip_share"
 
 register("zone_profile_features", lambda w: w.zone_profiles(), f"SELECT * REPLACE ({rounded(_PROFILE_DOUBLES)}) FROM zone_profiles")
-register("zone_pickup_profile", lambda w: features.pickup_profile(w.fact("trip_activity")),
+register("zone_pickup_profile", lambda w: features.pickup_profile(features.zone_hours(w.fact("trip_activity"))),
          f"SELECT * REPLACE ({rounded(_PICKUP)}) FROM p_pickup")
-register("zone_dropoff_count", lambda w: features.dropoff_profile(w.fact("trip_activity")), "SELECT * FROM p_dropoff")
-register("zone_variability", lambda w: features.variability_profile(w.fact("trip_activity")),
+register("zone_dropoff_count", lambda w: features.dropoff_profile(features.zone_hours(w.fact("trip_activity"))), "SELECT * FROM p_dropoff")
+register("zone_variability", lambda w: features.variability_profile(features.zone_hours(w.fact("trip_activity"))),
          f"SELECT * REPLACE ({rounded(_SPREAD)}) FROM p_spread")
 register("zone_wait_profile", lambda w: features.wait_profile(w.fact("hvfhv_operations")),
          f"SELECT * REPLACE ({rounded(_WAIT)}) FROM p_wait")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.blocks import SERVICES, rnd, rounded
@@ -107,21 +110,29 @@ register("temporal_attrs",
          f"SELECT {', '.join(_CALENDAR)}, count(*) AS n FROM green_typed GROUP BY ALL")
 
 
-@query("lineage", """
-SELECT concat('feed-', source_year, '-', source_month, '-', length(source_record) % 2, '.parquet') AS source_file,
+def _each(sql: str) -> str:
+    """``sql`` for every service, with {s} for its name."""
+    return " UNION ALL ".join(sql.format(s=s) for s in SERVICES)
+
+
+@query("lineage", _each("""
+SELECT '{s}' AS service, concat('feed-', source_year, '-', source_month, '-', length(source_record) % 2, '.parquet') AS source_file,
   sha256(concat('feed-', source_year, '-', source_month, '-', length(source_record) % 2, '.parquet')) AS bronze_sha256,
   CAST(source_year AS INT) AS source_year, CAST(source_month AS INT) AS source_month, 'run-1' AS silver_execution_id,
   count(*) AS n, true AS stamped
-FROM yellow_trips WHERE n_errors = 0 GROUP BY ALL""")
+FROM {s}_trips WHERE n_errors = 0 GROUP BY ALL"""))
 def _(w):
     # two files a period, with names and checksums of their own, carried to the master
     part = F.length("source_record") % 2
-    raw = w.raw("yellow").withColumn("source_file", F.concat_ws("", F.lit("feed-"), "source_year", F.lit("-"), "source_month", F.lit("-"), part,
-                                                                F.lit(".parquet")))
-    sums = raw.select("source_file").distinct().withColumn("sha256", F.sha2("source_file", 256))
-    df = trips.service_master(raw, "yellow", w.references(), "run-1", checksums=sums)
-    return df.groupBy("source_file", "bronze_sha256", "source_year", "source_month", "silver_execution_id").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("silver_processed_at").isNotNull()).alias("stamped"))
+
+    def carried(service: str) -> DataFrame:
+        raw = w.raw(service).withColumn("source_file", F.concat_ws(
+            "", F.lit("feed-"), "source_year", F.lit("-"), "source_month", F.lit("-"), part, F.lit(".parquet")))
+        sums = raw.select("source_file").distinct().withColumn("sha256", F.sha2("source_file", 256))
+        df = trips.service_master(raw, service, w.references(), "run-1", checksums=sums)
+        return df.groupBy(F.lit(service).alias("service"), "source_file", "bronze_sha256", "source_year", "source_month", "silver_execution_id").agg(
+            F.count(F.lit(1)).alias("n"), F.bool_and(F.col("silver_processed_at").isNotNull()).alias("stamped"))
+    return reduce(DataFrame.unionByName, map(carried, SERVICES))
 
 
 for _s in SERVICES:
@@ -189,7 +200,7 @@ for _s in SERVICES:
              lambda w, s=_s: w.flagged(s).select("source_record", "pickup_zone_name", "dropoff_borough", *_CODES),
              f"SELECT source_record, pickup_zone_name, dropoff_borough, {_CODE_SQL} FROM {_s}_trips")
     register(f"rule_counts_{_s}",
-             lambda w, s=_s: quality.rule_counts(w.flagged(s)),
+             lambda w, s=_s: quality.rule_counts(w.flagged_stage(s)),
              f"""SELECT rule_code, severity, count(*) AS affected_rows FROM (
   SELECT unnest(error_codes) AS rule_code, 'ERROR' AS severity FROM {_s}_trips UNION ALL
   SELECT unnest(warning_codes), 'WARNING' FROM {_s}_trips) GROUP BY ALL""")
@@ -229,14 +240,13 @@ def _(w):
     return quality.flag_more(zoned, trips.ZONE_RULES).select("source_record", *_CODES)
 
 
-@query("split_valid_rejected", """
-SELECT 'valid' AS part, count(*) AS n FROM green_trips WHERE n_errors = 0 UNION ALL
-SELECT 'rejected', count(*) FROM green_trips WHERE n_errors > 0""")
+@query("split_valid_rejected", _each("""
+SELECT '{s}' AS service, 'valid' AS part, count(*) AS n FROM {s}_trips WHERE n_errors = 0 UNION ALL
+SELECT '{s}', 'rejected', count(*) FROM {s}_trips WHERE n_errors > 0"""))
 def _(w):
-    flagged = w.flagged("green")
-    parts = [part(flagged).select(F.lit(name).alias("part"))
-             for name, part in (("valid", quality.accepted), ("rejected", quality.rejected))]
-    return _counted(parts[0].unionByName(parts[1]), "part")
+    parts = [part(w.flagged_stage(s)).select(F.lit(s).alias("service"), F.lit(name).alias("part"))
+             for s in SERVICES for name, part in (("valid", quality.accepted), ("rejected", quality.rejected))]
+    return _counted(reduce(DataFrame.unionByName, parts), "service", "part")
 
 
 _PERIOD_COUNTS = """CAST(count(*) AS BIGINT) AS rows_read, CAST(count(*) FILTER (n_errors = 0) AS BIGINT) AS rows_valid,
@@ -246,7 +256,7 @@ _PERIOD_COUNTS = """CAST(count(*) AS BIGINT) AS rows_read, CAST(count(*) FILTER
 
 def all_flagged(w):
     keep = ["service_type", "source_year", "source_month", *_CODES]
-    parts = [w.flagged(s).select(*keep) for s in SERVICE_KEYS]
+    parts = [w.flagged_stage(s).select(*keep) for s in SERVICE_KEYS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
@@ -256,9 +266,10 @@ register("quality_counts", lambda w: quality.quality_counts(all_flagged(w), PERI
          f"SELECT {PERIOD_SQL}, {_PERIOD_COUNTS} FROM all_trips GROUP BY ALL")
 
 
-@query("dedupe_rank", "SELECT source_record, repeat_rank > 1 AS is_repeat FROM fhvhv_ranked")
+@query("dedupe_rank", _each("SELECT '{s}' AS service, source_record, repeat_rank > 1 AS is_repeat FROM {s}_ranked"))
 def _(w):
-    return trips.flag_repeats(trips.standardize(w.raw("fhvhv"), "fhvhv")).select("source_record", "is_repeat")
+    return reduce(DataFrame.unionByName, [
+        trips.flag_repeats(trips.standardize(w.raw(s), s)).select(F.lit(s).alias("service"), "source_record", "is_repeat") for s in SERVICES])
 
 
 @query("eq_null_safe", """
@@ -274,12 +285,14 @@ def _(w):
 
 # --- lookups -----------------------------------------------------------------
 
-@query("zone_enrich", """
-SELECT pickup_zone_name, pickup_borough, pickup_service_zone, dropoff_borough, count(*) AS n FROM yellow_zoned
-GROUP BY ALL""")
+_ZONED = ["pickup_zone_name", "pickup_borough", "pickup_service_zone", "dropoff_borough"]
+
+
+@query("zone_enrich", _each(f"SELECT '{{s}}' AS service, {', '.join(_ZONED)}, count(*) AS n FROM {{s}}_zoned GROUP BY ALL"))
 def _(w):
-    df = trips.join_zones(trips.standardize(w.raw("yellow"), "yellow"), w.references().zones)
-    return _counted(df, "pickup_zone_name", "pickup_borough", "pickup_service_zone", "dropoff_borough")
+    return reduce(DataFrame.unionByName, [
+        _counted(trips.join_zones(trips.standardize(w.raw(s), s), w.references().zones).withColumn("service", F.lit(s)), "service", *_ZONED)
+        for s in SERVICES])
 
 
 _BASED = ["dispatching_base_num", "dispatching_base_name", "dispatching_base_dba", "dispatching_base_type",

@@ -134,9 +134,16 @@ def epoch_seconds(moment: Column) -> Column:
     return F.unix_seconds(moment.cast("timestamp"))
 
 
+def identity_text(names: Iterable[str]) -> Column:
+    return F.concat_ws("||", *[F.coalesce(F.col(n).cast("string"), F.lit(NULL_MARK)) for n in names])
+
+
+def identity_of(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
 def trip_identity(names: Iterable[str]) -> Column:
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit(NULL_MARK)) for n in names]
-    return F.sha2(F.concat_ws("||", *parts), 256)
+    return identity_of(identity_text(names))
 
 
 def lookup(value: Column, table: dict) -> Column:

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.operators.order import quantile
 
-def repeat_groups(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+
+def repeat_groups(df: DataFrame, keys: Sequence[str], order: str, named: dict[str, Column] | None = None) -> DataFrame:
     """Keys seen more than once, with the first ``order`` value of each.
 
     Almost all keys occur once, so they are first counted by a 64-bit hash, a hash aggregate over longs. Only rows whose
-    hash repeats reach the exact aggregate, whose minimum of texts needs a sort.
+    hash repeats reach the exact aggregate, whose minimum of texts needs a sort. ``named`` replaces the keys by others made
+    of them, which are then computed for these rows only.
     """
     hashed = df.select(*keys, order, F.xxhash64(*keys).alias("_hash"))
     often = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
+    again = hashed.join(often, "_hash", "left_semi")
+    if named is not None:
+        again, keys = again.select(*[v.alias(k) for k, v in named.items()], order), list(named)
     return (
-        hashed.join(often, "_hash", "left_semi").groupBy(*keys)
+        again.groupBy(*keys)
         .agg(F.min(order).alias("first_record"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
         .drop("copies")
@@ -45,41 +51,14 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return df.groupBy(*keys).agg(picked.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def running_number(df: DataFrame, keys: Sequence[str], time: str, tie: str, into: str, bucket: str = "hour") -> DataFrame:
-    """1, 2, 3, ... per key in time order, without ever sorting a whole key in one task.
-
-    Rows are numbered within (key, time bucket); bucket counts, one row each,
-    give the offset. A key that never sleeps is thus spread over its buckets.
-    """
-    bucketed = df.withColumn("_bucket", F.date_trunc(bucket, time))
-    spans = [*keys, "_bucket"]
-    counts = bucketed.groupBy(*spans).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(k).alias(f"_{k}") for k in spans], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    same = F.lit(True)
-    for k in spans:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    within = F.row_number().over(Window.partitionBy(*spans).orderBy(time, tie))
-    return bucketed.withColumn("_rank", within).join(offsets, same).withColumn(
-        into, (F.col("_rank") + F.col("_offset")).cast("int")
-    ).select(*df.columns, into)
-
-
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """Top-k report; Spark keeps k rows per task and merges them."""
     return df.orderBy(*order).limit(n)
 
 
 def at_least_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
-    """Keep rows whose value reaches the q-quantile (linear interpolation).
-
-    Meant for already aggregated groups. The threshold is a scalar subquery
-    whose state is one counter per distinct value.
-    """
-    floor = df.select(F.percentile(column, q).alias("floor")).scalar()
-    return df.filter(F.col(column) >= floor)
+    """Keep rows whose value reaches the exact q-quantile (linear interpolation)."""
+    return df.filter(F.col(column) >= quantile(df, column, q))
 
 
 def weighted_mean(value: str, weight: str) -> Column:

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.operators.keyed import latest_by, running_number
+from fareflow.operators.keyed import latest_by
+from fareflow.operators.order import exact_quantiles, numbered
 
 FAILED = ("FAILED", "ERROR", "EXHAUSTED")
 # Columns that tell one error from another, in identity order.
@@ -139,12 +140,10 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
 
 def processing_attempts(starts: DataFrame, finishes: DataFrame) -> DataFrame:
     """Attempt number per stage and subject, joined with its outcome and duration."""
-    numbered = running_number(
-        starts, ["execution_id", "layer", "stage", "subject"], "started_at", "attempt_id", "attempt_number"
-    )
+    counted = numbered(starts, ["execution_id", "layer", "stage", "subject"], ["started_at", "attempt_id"], "attempt_number", "attempts")
     ended = finishes.select("attempt_id", "finished_at", F.col("status").alias("end_status"))
     elapsed = F.timestamp_diff("SECOND", F.col("started_at"), F.col("finished_at"))
-    return numbered.join(ended, "attempt_id", "left").withColumns({
+    return counted.join(ended, "attempt_id", "left").withColumns({
         "status": F.coalesce("end_status", F.lit("RUNNING")), "duration_seconds": elapsed,
     }).drop("end_status")
 
@@ -262,8 +261,8 @@ def status_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 def median_duration(runs: DataFrame) -> DataFrame:
     """Exact median; zero means unknown."""
-    known = F.nullif("duration_seconds", F.lit(0.0))
-    return runs.agg(F.percentile(known, 0.5).alias("median_duration"))
+    known = runs.select(F.nullif("duration_seconds", F.lit(0.0)).alias("seconds"))
+    return exact_quantiles(known, "seconds", [0.5], "run-durations").select(F.col("value").alias("median_duration"))
 
 
 def latest_coverage(snapshots: DataFrame, tie: str = "event_id") -> DataFrame:

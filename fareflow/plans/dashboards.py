@@ -102,6 +102,21 @@ def coverage_note(executive: DataFrame, years: Sequence[int]) -> DataFrame:
     return labelled(covered.withColumn("missing_years", missing).filter(F.size("missing_years") > 0)).drop("covered")
 
 
+def declared_coverage(executive: DataFrame, years: Sequence[int], declared: dict[str, Sequence[int]]) -> DataFrame:
+    """Selected years outside the declared coverage of partly covered services, and the trips that are left out with them.
+
+    Such years count as not available, never as zero. A service that is declared but has no data at all is not reported.
+    """
+    wanted = F.array(*[F.lit(y) for y in sorted(set(years))])
+    covered = F.coalesce(*[F.when(F.col("service_type") == s, F.array(*[F.lit(int(y)) for y in ys])) for s, ys in declared.items()],
+                         wanted)
+    outside = ~F.array_contains(covered, F.col("source_year").cast("int"))
+    gaps = executive.groupBy("service_type").agg(
+        F.coalesce(F.sum(F.when(F.array_contains(wanted, F.col("source_year").cast("int")) & outside, F.col("trip_count"))), F.lit(0)).alias("trips_left_out"))
+    missing = F.array_sort(F.array_except(wanted, covered))
+    return labelled(gaps.withColumn("missing_years", missing).filter(F.size("missing_years") > 0))
+
+
 def declared_gaps(scope: Scope) -> dict[str, list[int]]:
     """Selected years outside the declared coverage of partially covered services."""
     return {
@@ -304,6 +319,7 @@ def competition_kpis(competition: DataFrame) -> DataFrame:
 
 
 _LABELS = tuple(SERVICE_LABELS.values())
+MAX_SERVICES = 200  # columns that a matrix may gain
 
 
 def zone_service_matrix(competition: DataFrame) -> DataFrame:
@@ -314,7 +330,10 @@ def zone_service_matrix(competition: DataFrame) -> DataFrame:
     keys = ("pickup_zone_key", "pickup_zone_name", "pickup_borough")
     long = named(labelled(competition), *keys)
     others = long.filter(~F.col("service_label").isin(*_LABELS)).select("service_label").distinct().orderBy("service_label")
-    labels = [*_LABELS, *[r["service_label"] for r in others.collect()]]
+    added = [r["service_label"] for r in others.limit(MAX_SERVICES + 1).collect()]
+    if len(added) > MAX_SERVICES:
+        raise ValueError(f"more than {MAX_SERVICES} services beyond the known ones can't be columns")
+    labels = [*_LABELS, *added]
     wide = long.groupBy(*keys).pivot("service_label", labels).agg(F.sum("pickup_trip_count")).fillna(0)
     counts = [F.col(f"`{s}`") for s in labels]
     wide = wide.withColumn("total", sum(counts[1:], counts[0]))
@@ -363,7 +382,7 @@ def segment_sizes(assignments: DataFrame) -> DataFrame:
 
 def silhouette_by_k(metrics: DataFrame) -> DataFrame:
     k = F.regexp_extract("metric_name", r"^silhouette_k_(\d+)$", 1)
-    return metrics.filter(k != "").select(k.cast("int").alias("k"), F.col("metric_value").alias("silhouette")).orderBy("k")
+    return metrics.filter(k != "").select(k.try_cast("int").alias("k"), F.col("metric_value").alias("silhouette")).orderBy("k")
 
 
 RADAR = ("night_trip_share", "weekend_trip_share", "airport_trip_share", "service_diversity",
@@ -396,7 +415,8 @@ def risk_top_zones(predictions: DataFrame, floor: float = 0.50, n: int = 15) ->
     zones = predictions.groupBy("pickup_zone_name", "pickup_borough").agg(
         F.count(F.lit(1)).alias("trips"), F.avg("risk_probability").alias("average_risk"),
         F.avg("request_to_pickup_seconds").alias("average_wait_seconds"))
-    return top(at_least_quantile(zones, "trips", floor), n, F.desc("average_risk"), F.asc("pickup_zone_name"))
+    return top(at_least_quantile(zones, "trips", floor), n, F.desc(F.round("average_risk", 9)), F.asc("pickup_zone_name"),
+               F.asc("pickup_borough"))
 
 
 def risk_levels(predictions: DataFrame) -> DataFrame:

@@ -27,7 +27,9 @@ def type_name(text: str) -> str:
 
 
 def schema_hash(df: DataFrame) -> str:
-    return hashlib.sha256(df.schema.json().encode()).hexdigest()
+    """Hash of names and types; the order of columns and the case of their names don't count."""
+    columns = sorted(f"{f.name.lower()}:{type_name(f.dataType.simpleString())}" for f in df.schema.fields)
+    return hashlib.sha256("\n".join(columns).encode()).hexdigest()
 
 
 def contract_problems(df: DataFrame, service: str) -> list[tuple]:
@@ -48,12 +50,12 @@ def contract_problems(df: DataFrame, service: str) -> list[tuple]:
 
 
 def contract_check(df: DataFrame, service: str) -> DataFrame:
-    """Differences between a raw table and its contract, with the rows they concern."""
+    """Differences between a raw table and its contract, with the rows they concern and the hash of the schema found."""
     report = df.sparkSession.createDataFrame(
         [(service, *p) for p in contract_problems(df, service)],
         "service string, problem string, field string, column string, observed string, accepted string",
     )
-    return report.withColumn("rows", df.agg(F.count(F.lit(1))).scalar())
+    return report.withColumn("rows", df.agg(F.count(F.lit(1))).scalar()).withColumn("schema_hash", F.lit(schema_hash(df)))
 
 
 # --- periods -----------------------------------------------------------------

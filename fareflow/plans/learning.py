@@ -7,11 +7,14 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.operators.order import PART, in_ranges, sum_before
+from fareflow.sources.sinks import staged
+
 log = logging.getLogger(__name__)
 METRICS_DDL = "model_name string, algorithm string, metric_name string, metric_value double"
 
@@ -28,6 +31,26 @@ def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], estimat
     ])
 
 
+def encoded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], codes: dict[str, str]) -> DataFrame:
+    """The columns a feature pipeline reads: numbers without gaps, flags (``x_num`` of a flag ``x``) as 0 and 1, and labels.
+
+    ``codes`` are labels made of a key column; other labels that are missing read UNKNOWN. An unknown number or flag is zero.
+    """
+    kinds = dict(df.dtypes)
+
+    def number(name: str) -> Column:
+        source = name if name in kinds else name.removesuffix("_num")
+        value = F.col(source).cast("double") if kinds[source] == "boolean" else F.col(source)
+        if kinds[source] in ("double", "float"):
+            value = F.when(~F.isnan(value), value)
+        return F.coalesce(value, F.lit(0).cast("double" if kinds[source] == "boolean" else kinds[source]))
+
+    def label(name: str) -> Column:
+        return F.col(codes[name]).cast("string") if name in codes else F.coalesce(F.col(name), F.lit("UNKNOWN"))
+
+    return df.withColumns({n: number(n) for n in numeric} | {n: label(n) for n in categorical})
+
+
 def between(df: DataFrame, column: str, after: str | None, until: str, closed: bool = False) -> DataFrame:
     """Rows in the half-open time span (after, until]; ``closed`` includes the start."""
     at, end = F.col(column), F.lit(until).cast("timestamp_ntz")
@@ -92,16 +115,56 @@ def weighted(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("class_weight", F.when(F.col(label) == 1.0, found[1.0]).otherwise(found[0.0]))
 
 
+def threshold_curve(scored: DataFrame) -> DataFrame:
+    """Per distinct score of (score, label, prediction) rows with labels 0 and 1, from the highest down: positives and negatives at
+    it, true and false positives from it upwards, and those of each class that are predicted rightly.
+
+    Rows are counted by score in one pass; running sums go over score ranges, each starting from the totals of those before it.
+    """
+    one, right = F.col("label") == 1, F.col("label") == F.col("prediction")
+    counts = scored.groupBy((-F.col("score")).alias("falling")).agg(
+        F.count_if(one).alias("pos"), F.count_if(~one).alias("neg"),
+        F.count_if(one & right).alias("pos_right"), F.count_if(~one & right).alias("neg_right"))
+    ranged = in_ranges(staged(counts, "score-counts"), ["falling"], "score-ranges")
+    totals = ranged.groupBy(PART).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")).withColumns({
+        "pos_before": sum_before("all_pos"), "neg_before": sum_before("all_neg")})
+    within = Window.partitionBy(PART).orderBy("falling")
+    return ranged.join(totals, PART).select(
+        (-F.col("falling")).alias("score"), "pos", "neg", "pos_right", "neg_right",
+        (F.col("pos_before") + F.sum("pos").over(within)).alias("tp"), (F.col("neg_before") + F.sum("neg").over(within)).alias("fp"))
+
+
+def curve_metrics(scored: DataFrame) -> DataFrame:
+    """One row: areas under the precision-recall and the ROC curve by trapezoids, and f1, precision and recall weighted by
+    class, and accuracy. A class without rows weighs nothing; without any row all are zero."""
+    curve = threshold_curve(scored)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("pos", "neg", "pos_right", "neg_right")]
+    before_tp, before_fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    earlier = F.coalesce(F.try_divide(before_tp, before_tp + before_fp), precision)  # the curve begins level
+    whole = curve.agg(*sums, F.sum(F.col("pos") * (earlier + precision) / 2).alias("under_pr"),
+                      F.sum(F.col("neg") * (before_tp + F.col("tp")) / 2).alias("under_roc"))
+
+    def ratio(top: Column, bottom: Column) -> Column:
+        return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
+
+    pos, neg, tp, tn = (F.col(c) for c in ("pos", "neg", "pos_right", "neg_right"))
+    rows = pos + neg
+    by_class = [(neg, ratio(tn, tn + pos - tp), ratio(tn, neg)), (pos, ratio(tp, tp + neg - tn), ratio(tp, pos))]
+
+    def weighted_by_class(measure) -> Column:
+        return ratio(sum((n * measure(p, r) for n, p, r in by_class), F.lit(0.0)), rows)
+
+    return whole.select(
+        ratio(F.col("under_pr"), pos).alias("auc_pr"), ratio(F.col("under_roc"), pos * neg).alias("auc_roc"),
+        weighted_by_class(lambda p, r: ratio(2 * p * r, p + r)).alias("f1"), weighted_by_class(lambda p, r: p).alias("precision"),
+        weighted_by_class(lambda p, r: r).alias("recall"), ratio(tp + tn, rows).alias("accuracy"))
+
+
 def classification_metrics(df: DataFrame, label: str) -> dict[str, float]:
-    binary = BinaryClassificationEvaluator(labelCol=label)
-    multi = MulticlassClassificationEvaluator(labelCol=label)
-    names = {"f1": "f1", "precision": "weightedPrecision", "recall": "weightedRecall", "accuracy": "accuracy"}
-    scores = {
-        "auc_pr": binary.evaluate(df, {binary.metricName: "areaUnderPR"}),
-        "auc_roc": binary.evaluate(df, {binary.metricName: "areaUnderROC"}),
-    }
-    scores.update({k: multi.evaluate(df, {multi.metricName: m}) for k, m in names.items()})
-    return {k: float(v) for k, v in scores.items()}
+    """All metrics from one pass over a model's output."""
+    score = F.element_at(vector_to_array("rawPrediction"), 2)
+    return numbers(curve_metrics(df.select(score.alias("score"), F.col(label).alias("label"), "prediction")))
 
 
 def release(cached: Iterable[DataFrame]) -> None:

@@ -249,20 +249,93 @@ def roll_up_mart(name: str, rollup: DataFrame, dim_zone: DataFrame) -> DataFrame
     return _finish(mart, grouped, dim_zone)
 
 
+# --- percentiles from counts of values -----------------------------------------
+
+@dataclass(frozen=True)
+class ValueCounts:
+    """Pre-aggregate with a row per key and value: exact percentiles of the value can be read off it at any coarser grain."""
+
+    fact: str
+    keys: tuple[str, ...]
+    value: str
+    sums: tuple[str, ...]
+    where: str | None = None
+
+
+VALUE_COUNTS = {
+    "activity": ValueCounts("trip_activity", ROLLUP_KEYS, "trip_duration_seconds", _ROLLUP_SUMS),
+    "card_tips": ValueCounts(
+        "taxi_financial", MARTS["tip_behavior"].keys, "tip_percentage", ("trip_count", "tip_amount", "tip_percentage"),
+        MARTS["tip_behavior"].where),
+    "hvfhv_waits": ValueCounts(
+        "hvfhv_operations", MARTS["hvfhv_service_quality"].keys, "request_to_pickup_seconds",
+        ("trip_count", "request_to_pickup_seconds", "driver_wait_seconds", "driver_pay")),
+}
+PERCENTILE_MARTS = {"tip_behavior": "card_tips", "operational_efficiency": "activity", "zone_congestion": "activity",
+                    "hvfhv_service_quality": "hvfhv_waits"}
+_SHARES = {"median": 0.5, "p95": 0.95}
+
+
+def value_counts(name: str, fact: DataFrame) -> DataFrame:
+    """Sums and counts per key and value. Durations and waits are whole seconds, so trips share values.
+
+    Write it out once; marts with and without percentiles are rolled up from the copy.
+    """
+    spec = VALUE_COUNTS[name]
+    if spec.where:
+        fact = fact.filter(spec.where)
+    sums = [F.sum(s).alias(f"{s}__sum") for s in spec.sums] + [F.count(s).alias(f"{s}__n") for s in spec.sums]
+    flags = [F.sum(F.col("airport_trip_flag").cast("long")).alias("airport_trip_flag__sum")] if "airport_trip_flag" in spec.keys else []
+    return fact.groupBy(*_grain(spec.keys, stored=False), F.col(spec.value).alias("value")).agg(*sums, *flags, F.count(spec.value).alias("value__n"))
+
+
+def rollup_of_values(values: DataFrame) -> DataFrame:
+    """The shared pre-aggregate without values."""
+    measures = [c for c in values.columns if "__" in c and c != "value__n"]
+    return values.groupBy(*ROLLUP_KEYS).agg(*[F.sum(c).alias(c) for c in measures])
+
+
+def roll_up_percentiles(name: str, values: DataFrame, dim_zone: DataFrame) -> DataFrame:
+    """A mart with exact percentiles from counts of values.
+
+    A percentile is the least value up to which the running count reaches its share. The running count goes over a group's
+    distinct values, which are bounded by their domain, and never over its trips.
+    """
+    mart = MARTS[name]
+    sums = sorted({c for m in mart.measures.values() if m.kind not in _SHARES for c in (f"{m.source}__sum", f"{m.source}__n")} & set(values.columns))
+    merged = values.groupBy(*_grain(mart.keys, stored=True), "value").agg(*[F.sum(c).alias(c) for c in (*sums, "value__n")])
+    group = Window.partitionBy(*mart.keys)
+    merged = merged.withColumns({"_up_to": F.sum("value__n").over(group.orderBy("value")), "_all": F.sum("value__n").over(group)})
+
+    def measure(m: Measure) -> Column:
+        if m.kind not in _SHARES:
+            return m.rolled_up()
+        rank = F.greatest(F.ceil(F.lit(_SHARES[m.kind]) * F.col("_all")), F.lit(1))
+        return F.min(F.when(F.col("_up_to") >= rank, F.col("value")))
+
+    return _finish(mart, merged.groupBy(*mart.keys).agg(*[measure(m).alias(alias) for alias, m in mart.measures.items()]), dim_zone)
+
+
 def publish_marts(facts: dict[str, DataFrame], dim_zone: DataFrame, root: str) -> dict[str, str]:
-    """Write all marts. The activity fact is scanned once for the shared pre-aggregate.
+    """Write all marts. Each fact is scanned once for its counts of values, and marts with percentiles and the shared
+    pre-aggregate are rolled up from these.
 
-    Only marts with percentiles, the OD marts and those of the smaller facts go
-    back to their fact; the rest read the far smaller pre-aggregate.
+    Only the OD marts and those of the smaller facts without percentiles go back to their fact.
     """
-    write_dataset(activity_rollup(facts["trip_activity"]), f"{root}/activity_rollup")
-    rollup = dim_zone.sparkSession.read.parquet(f"{root}/activity_rollup")
-    paths = {}
+    read = dim_zone.sparkSession.read
+    values, paths = {}, {}
+    for name, spec in VALUE_COUNTS.items():
+        write_dataset(value_counts(name, facts[spec.fact]), f"{root}/{name}_values")
+        values[name] = read.parquet(f"{root}/{name}_values")
+    write_dataset(rollup_of_values(values["activity"]), f"{root}/activity_rollup")
+    rollup = read.parquet(f"{root}/activity_rollup")
     for name in MARTS:
         if name == "route_efficiency":  # a view of the OD mart, which is written by then
-            mart = route_view(dim_zone.sparkSession.read.parquet(paths["od_routes"]))
+            mart = route_view(read.parquet(paths["od_routes"]))
         elif rolls_up(name):
             mart = roll_up_mart(name, rollup, dim_zone)
+        elif name in PERCENTILE_MARTS:
+            mart = roll_up_percentiles(name, values[PERCENTILE_MARTS[name]], dim_zone)
         else:
             mart = build_mart(name, facts, dim_zone)
         paths[name] = f"{root}/{name}"

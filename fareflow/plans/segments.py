@@ -29,12 +29,14 @@ LEADERS = (
     ("weekend_trip_share", "Zonas recreativas de fin de semana"),
     ("average_request_to_pickup_seconds", "Zonas con fricción de recogida"),
 )
+# Names of the segments that lead in nothing, and of those beyond.
 OTHERS = (
     "Corredores residenciales estables",
     "Zonas emergentes",
     "Zonas de baja actividad",
     "Corredores de demanda variable",
 )
+BEYOND = "Perfil territorial"
 
 
 def active_zones(profiles: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def segment_names(profiles: list[dict]) -> dict[int, str]:
             leader = max(free, key=lambda p: p[measure] or 0.0)
             names[leader["cluster_id"]] = label
             free.remove(leader)
-    labels = [*OTHERS, *(f"Perfil territorial {n}" for n in range(len(OTHERS) + 1, len(free) + 1))]
+    labels = [*OTHERS, *(f"{BEYOND} {n}" for n in range(len(OTHERS) + 1, len(free) + 1))]
     names.update((p["cluster_id"], label) for p, label in zip(free, labels))
     return names
 
@@ -81,7 +83,7 @@ class SegmentRun:
 
 
 def train_segments(profiles: DataFrame, s: SegmentSettings) -> SegmentRun:
-    """Zones number 265 at most, whatever the trip volume, so every k is cheap to try."""
+    """One row per zone of the lookup, whatever the trip volume, so every k is cheap to try."""
     zones = active_zones(profiles).persist()
     n = zones.count()
     if n <= s.k_min:

@@ -27,7 +27,7 @@ RATE_ROWS = [
     (6, "Group ride", False, False), (99, "Null/unknown", False, False), (-1, "Not applicable", False, False),
 ]
 TRIP_TYPE_ROWS = [(1, "Street-hail"), (2, "Dispatch"), (-1, "Not applicable")]
-# last hour of each band, and its name
+# Last hour of each band, and its name.
 TIME_BANDS = [(5, "MADRUGADA"), (11, "MANANA"), (16, "TARDE"), (21, "PICO_NOCTURNO"), (23, "NOCHE")]
 
 
@@ -148,6 +148,7 @@ def _day(column: str) -> str:
 
 
 _PROVIDER = "coalesce(vendor_id_or_license, dispatching_base_num, originating_base_num)"
+# What adds up to a passenger's charge.
 _CHARGED = ("fare_amount", "tolls_amount", "black_car_fund", "sales_tax", "congestion_surcharge", "airport_fee",
             "cbd_congestion_fee", "tip_amount")
 _SOURCES = {

@@ -78,6 +78,13 @@ SEGMENTS = SegmentSettings()
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = prepare(spark), sf_dir.rstrip("/")
+        self._versions: dict[tuple, str] = {}
+
+    def version(self, tables=_INPUTS) -> str:
+        """Fingerprint of the input files, taken once per workspace."""
+        if tables not in self._versions:
+            self._versions[tables] = _fingerprint(self.spark, self.sf_dir, tables)
+        return self._versions[tables]
 
     def table(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)
@@ -93,9 +100,13 @@ class Workspace:
 
     def flagged(self, service: str) -> DataFrame:
         """Rules over the raw trips; repeated ids come from the stored stage, so the wide rows are built once."""
-        repeats = self.repeats(service, _fingerprint(self.spark, self.sf_dir))
+        repeats = self.repeats(service, self.version())
         return trips.flagged_trips(self.raw(service), service, self.references(), repeats=repeats)
 
+    def flagged_stage(self, service: str) -> DataFrame:
+        """Flagged trips from their written copy: reports on rules and outcomes read a few of its columns."""
+        return stored(self.spark, f"flagged-{service}", self.version(), (self.flagged(s) for s in [service]))
+
     def live_master(self) -> DataFrame:
         return trips.master(self.raws(), self.references())
 
@@ -110,7 +121,7 @@ class Workspace:
         the identifying columns, the second does all the rest without a shuffle
         of its own as long as the lookups and repeats are small.
         """
-        version, refs = _fingerprint(self.spark, self.sf_dir), self.references()
+        version, refs = self.version(), self.references()
         parts = (
             trips.service_master(self.raw(s), s, refs, repeats=self.repeats(s, version)) for s in SERVICE_KEYS
         )
@@ -131,9 +142,14 @@ class Workspace:
 
     def stored_mart(self, name: str) -> DataFrame:
         """A mart from its written copy; reports read it several times over."""
-        version = _fingerprint(self.spark, self.sf_dir)
+        version = self.version()
         return stored(self.spark, f"mart-{name}", version, (self.mart(n) for n in [name]))
 
+    def values(self, name: str) -> DataFrame:
+        """Counts of values of a fact from their written copy."""
+        version, fact = self.version(), marts.VALUE_COUNTS[name].fact
+        return stored(self.spark, f"values-{name}", version, (marts.value_counts(n, self.fact(fact)) for n in [name]))
+
     # --- features and models -------------------------------------------------
 
     def event_features(self) -> DataFrame:
@@ -161,13 +177,13 @@ class Workspace:
                 "predictions": r.predictions, "anomalies": r.anomalies, "metrics": r.metric_rows,
                 "candidates": self._candidates("forecast", r.candidates), "test": r.test.select(*keep),
             }, r.model, r.cached
-        return stored_outputs(self.spark, "forecast", _fingerprint(self.spark, self.sf_dir, ("events",)), run)
+        return stored_outputs(self.spark, "forecast", self.version(("events",)), run)
 
     def segments(self) -> dict[str, DataFrame]:
         def run():
             r = segments.train_segments(self.zone_profiles(), SEGMENTS)
             return {"assignments": r.assignments, "profiles": r.profiles, "metrics": r.metric_rows}, r.model, r.cached
-        return stored_outputs(self.spark, "segments", _fingerprint(self.spark, self.sf_dir), run)
+        return stored_outputs(self.spark, "segments", self.version(), run)
 
     def wait_risk(self) -> dict[str, DataFrame]:
         def run():
@@ -176,4 +192,4 @@ class Workspace:
                 "predictions": r.predictions, "importance": r.importance, "metrics": r.metric_rows,
                 "candidates": self._candidates("wait-risk", r.candidates),
             }, r.model, r.cached
-        return stored_outputs(self.spark, "wait-risk", _fingerprint(self.spark, self.sf_dir), run)
+        return stored_outputs(self.spark, "wait-risk", self.version(), run)

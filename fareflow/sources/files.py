@@ -84,7 +84,7 @@ def normalize_zones(raw: DataFrame) -> DataFrame:
 
 
 def normalize_bases(raw: DataFrame) -> DataFrame:
-    license_number = F.upper(_named(raw, ["License Number", "base_license_number", "base_license"]))
+    license_number = F.upper(_named(raw, ["License Number", "base_license_number", "base_license"], True))
     picked = raw.select(
         license_number.alias("base_license_number"),
         _named(raw, ["Base Name", "name"]).alias("base_name"),
@@ -96,23 +96,6 @@ def normalize_bases(raw: DataFrame) -> DataFrame:
     return _one_per_key(picked, "base_license_number")
 
 
-def file_fingerprint(spark: SparkSession, path: str, min_bytes: int = 12) -> DataFrame:
-    """Hash, size and Parquet signature per file. One file is one record, so files must stay under 2 GB."""
-    magic = F.lit("PAR1").cast("binary")
-    content = F.col("content")
-    head, tail = F.substring(content, 1, 4), F.substring(content, -4, 4)
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("length").alias("bytes"),
-            F.sha2(content, 256).alias("sha256"),
-            ((head == magic) & (tail == magic)).alias("parquet_signature"),
-            (F.col("length") >= min_bytes).alias("large_enough"),
-        )
-    )
-
-
 def dataset_inventory(df: DataFrame, dataset: str, layer: str) -> DataFrame:
     """Files, bytes and rows behind a file-based frame; rows are counted before files are merged."""
     per_file = df.groupBy(
@@ -128,6 +111,13 @@ def dataset_inventory(df: DataFrame, dataset: str, layer: str) -> DataFrame:
     ).select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset_name"), "*")
 
 
+def with_provenance(reference: DataFrame, url: str, facts: DataFrame, at: Column | None = None) -> DataFrame:
+    """Address, content hash and time of refresh on each row of a reference table; ``facts`` are of the file it was read from."""
+    hashed = facts.agg(F.max("sha256")).scalar()
+    return reference.withColumns({
+        "source_url": F.lit(url), "source_sha256": hashed, "refreshed_at": F.localtimestamp() if at is None else at})
+
+
 RUN_EVENT = (
     "event_id bigint, execution_id string, parent_execution_id string, layer string, execution_type string, "
     "status string, started_at timestamp_ntz, finished_at timestamp_ntz, duration_seconds double, "
@@ -152,7 +142,7 @@ def read_manifests(spark: SparkSession, root: str, schema: str, one_per_file: bo
     )
 
 
-_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # Character references as they occur in addresses.
 _REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&#x26;": "&", "&amp;": "&"}
 
@@ -172,12 +162,9 @@ def links_from_pages(pages: DataFrame, hosts: Sequence[str] = ()) -> DataFrame:
 
     Values may be quoted or not; character references are decoded and dot segments of relative links resolved.
     """
-    forms = [F.regexp_extract_all("html", F.lit(_HREF), F.lit(i)) for i in (1, 2, 3)]
-    hrefs = forms[0]
-    for form in forms[1:]:  # one of the three holds the value
-        hrefs = F.zip_with(hrefs, form, lambda a, b: F.concat(a, b))
+    hrefs = F.regexp_extract_all("html", F.lit(_HREF), F.lit(1))
     found = pages.select("page_id", "url", F.posexplode_outer(hrefs).alias("position", "href")).filter("href is not null")
-    href = F.col("href")
+    href = F.regexp_extract("href", r"""(?s)^["']?(.*?)["']?$""", 1)
     for reference, char in _REFERENCES.items():
         href = F.replace(href, F.lit(reference), F.lit(char))
     found = found.withColumn("href", F.trim(href))

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareflow.operators.quality import accepted, rejected
+from fareflow.session import shared_dir
 
 PERIOD = ("source_year", "source_month")
+OUTCOME = "outcome"
 FACT_PARTITIONS = ("service_type", *PERIOD)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a written copy in the shared folder: computed once, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/fareflow/{name}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _evened(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a partition meet in few tasks; a large partition is split, small ones share a task."""
     return df.hint("rebalance", *keys) if keys else df
@@ -38,17 +47,21 @@ def write_dataset(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_split(flagged: DataFrame, root: str, keys: Sequence[str] = PERIOD) -> dict[str, str]:
-    """Write flagged trips once, then derive the accepted and rejected tables from the written copy.
+def write_split(flagged: DataFrame, root: str, keys: Sequence[str] = PERIOD) -> str:
+    """Write flagged trips in one job without moving them; ``split_part`` reads the accepted or the rejected ones.
 
-    The written copy, not the cache, carries the result, so a lost executor costs a re-read only.
+    Trips arrive by file and so by period, and stay where they are. Within a period's files they are sorted by outcome, so a reader
+    skips the other outcome by its footers. As both are in a period's folder, a rerun replaces both, also when one is empty now.
     """
-    paths = {name: f"{root}/{name}" for name in ("flagged", "curated", "rejected")}
-    write_partitions(flagged, paths["flagged"], keys)
-    stored = flagged.sparkSession.read.parquet(paths["flagged"])
-    write_partitions(accepted(stored), paths["curated"], keys)
-    write_partitions(rejected(stored), paths["rejected"], keys)
-    return paths
+    outcome = F.when(F.col("quality_error_count") > 0, "rejected").otherwise("curated")
+    writer = flagged.withColumn(OUTCOME, outcome).sortWithinPartitions(*keys, OUTCOME).write.mode("overwrite")
+    writer.option("compression", "snappy").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+    return root
+
+
+def split_part(spark: SparkSession, root: str, outcome: str) -> DataFrame:
+    """``curated`` or ``rejected`` trips of a split."""
+    return spark.read.parquet(root).filter(F.col(OUTCOME) == outcome).drop(OUTCOME)
 
 
 MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the JSON writer would otherwise stop at milliseconds

@@ -1,11 +1,13 @@
 """Marts, features and rankings: invariants and brute-force checks."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from fareflow.operators.keyed import at_least_quantile, latest_by, running_number
+from fareflow.operators import order
+from fareflow.operators.keyed import at_least_quantile, latest_by
 from fareflow.plans import dashboards, features, forecast, learning, marts, segments, star
 
 
@@ -158,9 +160,27 @@ def test_latest_keeps_null_keys_apart_and_nulls_lose(spark):
     assert {(r.k, r.v) for r in latest_by(df, ["k"], ["t", "v"]).collect()} == {("a", "x"), (None, "z")}
 
 
-def test_running_number_crosses_buckets(spark):
+def test_numbers_cross_range_partitions(spark):
     start = datetime(2024, 1, 1)
-    rows = [("a", i, start + timedelta(minutes=25 * i)) for i in range(20)] + [(None, 99, start)]
+    rows = [("a", i, start + timedelta(minutes=i % 50)) for i in range(400)] + [(None, 900 + i, start) for i in range(3)] + [("b", 999, None)]
     df = spark.createDataFrame(rows, "k string, id int, at timestamp_ntz")
-    out = {r.id: r.n for r in running_number(df, ["k"], "at", "id", "n").collect()}
-    assert out == {**{i: i + 1 for i in range(20)}, 99: 1}
+    out = order.numbered(df, ["k"], ["at", "id"], "n")
+    want = {i: n for n, (_, i, _) in enumerate(sorted(rows[:400], key=lambda r: (r[2], r[1])), 1)} | {900: 1, 901: 2, 902: 3, 999: 1}
+    assert {r.id: r.n for r in out.collect()} == want
+    assert len({r[0] for r in order.in_ranges(df, ["k", "at", "id"], "t").select(order.PART).distinct().collect()}) > 2
+    assert order.numbered(df.limit(0), ["k"], ["at"], "n").count() == 0
+
+
+def test_exact_quantiles_select_by_rank(spark):
+    rng = random.Random(7)
+    for values in ([], [4.5], [1.0, 2.0], [rng.choice([0.1, 0.1, rng.random(), float(rng.randint(-3, 3))]) for _ in range(501)]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+        got = {r.share: r.value for r in order.exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.951, 1.0]).collect()}
+        for share, value in got.items():
+            at = sorted(values)
+            where = share * (len(at) - 1)
+            low, high = int(where), min(int(where) + 1, len(at) - 1)
+            assert value == (pytest.approx(at[low] + (at[high] - at[low]) * (where - low), rel=1e-12) if at else None)
+        assert len(got) == 5
+    plan = order.exact_quantiles(df, "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
