@@ -8,8 +8,9 @@ is more frequent than its parts; a Bloom filter of those parts (16 MB at most) i
 is counted and falls below ``least`` exactly. In a task, phrases go into a trie over word ids whose leaves are hash tables
 (a HAT-trie): a leaf covers a range of ids; when it has more than ``BURST`` phrases it bursts, into two ranges, or, if all its phrases
 begin alike, into a node of its own over the next word, at most ``DEPTH`` words deep. When a task's trie exceeds
-``TRIE_BYTES``, its largest subtrees leave as runs sorted by words, and the rest at the end. Runs are dealt by the phrase's first two
-words and merged in each partition, so memory is bounded and a frequent word is spread over its followers.
+``TRIE_BYTES``, its largest subtrees leave as runs sorted by words, and the rest at the end. Runs are cut by prefix partitions, ranges of
+the first word's ids with sixteen ranges of the second word's in each, so a frequent word is spread over its followers. A partition's
+runs are merged at once; there are so many partitions that ``PART_BYTES`` would hold one if all phrases of the corpus were different.
 
 Each cut of a phrase gives ``floor(1000 a n / (l r))`` in exact decimals; the lowest counts. Of equal phrases by score and count, those that may
 be among the first ``top`` are spelled out, so ties are ordered by bytes.
@@ -20,6 +21,7 @@ an id count each. An empty table gives an empty result. Other columns are ignore
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,7 @@ BURST = 1 << 14
 DEPTH = 2
 TRIE_BYTES = 96 << 20
 CHUNK_BYTES = 1 << 20
+PART_BYTES = 128 << 20
 BREAKERS = b".,;:!?\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -215,14 +218,39 @@ class Node:
             yield from [kid.by_words()[1:]] if isinstance(kid, Leaf) else kid.runs()
 
 
-def counted(docs: DataFrame, size: int, held: np.ndarray) -> DataFrame:
-    """(w1, ..., a) of the phrases of ``size`` words that may be frequent; ``held`` is a Bloom filter of their parts one word shorter."""
+def prefix_part(words: np.ndarray, bits: int) -> np.ndarray:
+    """Number of the prefix partition: a range of the first word's ids by its highest ``bits``, cut by the second word's into sixteen,
+    so that a frequent word is spread over its followers."""
+    first = (words[:, 0] >> np.uint64(1)) >> np.uint64(63 - bits)
+    return (first << np.uint64(4) | words[:, 1] >> np.uint64(60)).astype(np.int64)
+
+
+def part_bits(n_words: int, size: int, partitions: int) -> int:
+    """So many that a partition's runs fit a task, were all phrases different, and tasks get several partitions each."""
+    wanted = max(4 * partitions, n_words * 8 * (size + 1) // PART_BYTES) / 16
+    return min(40, max(0, math.ceil(math.log2(max(1, wanted)))))
+
+
+def counted(docs: DataFrame, size: int, held: np.ndarray, least: int, bits: int) -> DataFrame:
+    """(w1, ..., a) of the phrases of ``size`` words found ``least`` times; ``held`` is a Bloom filter of their parts one word shorter."""
     names = [f"w{k + 1}" for k in range(size)] + ["a"]
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
-    def batch_of(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(words[:, k]).view(np.int64)) for k in range(size)), pa.array(counts)],
-                                          names=names)
+    def pieces(words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+        """A sorted run by prefix partition, each with its words column by column."""
+        part = prefix_part(words, bits)
+        order = np.argsort(part, kind="stable")
+        part, words, counts = part[order], words[order], counts[order]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        for low, high in zip(cuts, np.append(cuts[1:], len(part))):
+            yield int(part[low]), words[low:high].T.tobytes(), counts[low:high].tobytes()
+
+    def packed(runs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for words, counts in runs:
+            rows = list(pieces(words, counts)) if len(counts) else []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2))],
+                                                 names=["part", "words", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, seeds = Node(size), {}
@@ -241,14 +269,36 @@ def counted(docs: DataFrame, size: int, held: np.ndarray) -> DataFrame:
                 order = np.lexsort(found.T[:DEPTH][::-1])
                 trie.add(keys[order], found[order], counts[order])
                 if trie.bytes() > TRIE_BYTES:
-                    for run in trie.spilled(TRIE_BYTES // 2):
-                        yield batch_of(*run)
-        for run in trie.runs():
-            if len(run[1]):
-                yield batch_of(*run)
+                    yield from packed(trie.spilled(TRIE_BYTES // 2))
+        yield from packed(trie.runs())
+
+    def merged(runs: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        """Sums of one partition's runs, where they reach ``least``."""
+        if not runs:
+            return
+        words = np.concatenate([np.frombuffer(w, np.uint64).reshape(size, -1) for w, _ in runs], axis=1).T
+        counts = np.concatenate([np.frombuffer(c, np.int64) for _, c in runs])
+        keys = row_ids(words)
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]) != 0)
+        total = np.add.reduceat(counts[order], first)
+        enough = np.flatnonzero(total >= least)
+        words = words[order[first[enough]]]
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(np.ascontiguousarray(words[:, k]).view(np.int64)) for k in range(size)), pa.array(total[enough])], names=names)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, runs = None, []
+        for batch in batches:
+            for part, words, counts in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if part != now:
+                    yield from merged(runs)
+                    now, runs = part, []
+                runs.append((words, counts))
+        yield from merged(runs)
 
-    runs = docs.select("lang", "text").mapInArrow(count, ", ".join(f"{n} long" for n in names))
-    return runs.repartition("w1", "w2").groupBy(*names[:-1]).agg(F.sum("a").alias("a"))
+    runs = docs.select("lang", "text").mapInArrow(count, "part long, words binary, counts binary")
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(merge, ", ".join(f"{n} long" for n in names))
 
 
 def row_ids(words: np.ndarray) -> np.ndarray:
@@ -300,9 +350,11 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = LONGEST, top:
     docs = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
     words, totals = word_table(docs, least)
     totals = written(totals, "totals")
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held, levels = needed_filter(words.select(F.col("id").alias("h"))), []
     for size in range(2, longest + 1):
-        level = counted(docs, size, held).filter(F.col("a") >= least)
+        level = counted(docs, size, held, least, part_bits(n_words, size, partitions))
         levels.append(written(with_parts(level, size), f"phrases-{size}"))
         held = needed_filter(levels[-1].select(F.col("id").alias("h")))
         if not held.any():

@@ -160,7 +160,17 @@ def test_latest_keeps_null_keys_apart_and_nulls_lose(spark):
     assert {(r.k, r.v) for r in latest_by(df, ["k"], ["t", "v"]).collect()} == {("a", "x"), (None, "z")}
 
 
-def test_numbers_cross_range_partitions(spark):
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables stay in several ranges."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_numbers_cross_range_partitions(spark, many_ranges):
     start = datetime(2024, 1, 1)
     rows = [("a", i, start + timedelta(minutes=i % 50)) for i in range(400)] + [(None, 900 + i, start) for i in range(3)] + [("b", 999, None)]
     df = spark.createDataFrame(rows, "k string, id int, at timestamp_ntz")
@@ -171,7 +181,7 @@ def test_numbers_cross_range_partitions(spark):
     assert order.numbered(df.limit(0), ["k"], ["at"], "n").count() == 0
 
 
-def test_exact_quantiles_select_by_rank(spark):
+def test_exact_quantiles_select_by_rank(spark, many_ranges):
     rng = random.Random(7)
     for values in ([], [4.5], [1.0, 2.0], [rng.choice([0.1, 0.1, rng.random(), float(rng.randint(-3, 3))]) for _ in range(501)]):
         df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
