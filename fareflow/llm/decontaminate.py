@@ -13,11 +13,15 @@ least ``share`` of the item. Chance matches of a single window report nothing. T
 alignment (one distance between the places in document and item), those of neighbouring alignments at most ``window`` words
 apart (words put in or left out), and all windows whose values are equal. The figures are those of the largest consistent set.
 
+Windows are built only where a text has as many words in a row as a window, each a placeholder or a word of some item; a bitmap of
+the items' words (128 kB) tells. No other window can match.
+
 The join's sides are left to Spark's size check: the benchmark's windows are broadcast while small and shuffled beyond.
 Windows are pre-counted per document and item before anything is regrouped, and only documents with a matched
 placeholder are read again.
 
-Defined cases. Null and empty texts match nothing, items shorter than ``window`` template words are never matched. Rows of one
+Defined cases. Null and empty texts match nothing, items shorter than ``window`` template words match
+where a document holds all their words and values in a row, but for items under ``SHORTEST`` words, which chance would find anywhere. Rows of one
 id are one document (or item), each aligned by itself. Rows without id are not reported, and kept by ``drop_contaminated``. Empty tables are fine
 on either side.
 """
@@ -36,6 +40,8 @@ NAMES = NAME + OPENING + INNER
 MARKS = NAMES + NUMBER + UNIT
 # The ways to read a window, by the marks that stand for names.
 READINGS = ((NAME, OPENING), (NAME, INNER), ())
+BIT_WORDS = 1 << 14  # longs of the bitmap of the items' words
+SHORTEST = 5  # words of the shortest item looked for
 # Words that are capitalised without being names.
 STOPS = ("a an and as at but by can could did do does each every find for from given had has have he her his how i if in is it its let "
          "many much no not of on one or our she should so some suppose that the their then there these they this those to two was we "
@@ -48,13 +54,15 @@ UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "lb", "oz", "l", "ml", "s", "ms
 
 def template_words(text: Column) -> Column:
     """Lower-cased words; numbers, names and units carry a mark of their type in front of their value."""
-    marked = F.regexp_replace(text, r"(?<![\p{L}\p{N}])(\p{Nd}+(?:[.,:/]\p{Nd}+)*)", f"{NUMBER}$1 ")
+    # Each pattern looks at a place's own character first, so nearly all places fail at once.
+    marked = F.regexp_replace(text, r"(?=\p{Nd})(?<![\p{L}\p{N}])(\p{Nd}+(?:[.,:/]\p{Nd}+)*)", f"{NUMBER}$1 ")
     marked = F.regexp_replace(marked, rf"({NUMBER}[^ ]* )\s*((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2 ")
-    marked = F.regexp_replace(marked, r"(?U)\s+", " ")
+    marked = F.regexp_replace(marked, r"(?U)(?:\s{2,}|[\s&&[^ ]])", " ")
     capital = r"(\p{Lu}\p{Ll}+)"
-    marked = F.regexp_replace(marked, rf"(?<=[\p{{L}}\p{{N}},;:] )(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}])){capital}", f"{NAME}$1")
-    marked = F.regexp_replace(marked, rf"(?<=[\p{{L}}\p{{N}},;:] ){capital}", f"{INNER}$1")
-    marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{N}}{MARKS}])(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{L}}+)", f"{OPENING}$1")
+    marked = F.regexp_replace(marked, rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}},;:] )(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}])){capital}", f"{NAME}$1")
+    marked = F.regexp_replace(marked, rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}},;:] ){capital}", f"{INNER}$1")
+    marked = F.regexp_replace(
+        marked, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{MARKS}])(?!(?i:{'|'.join(STOPS)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{L}}+)", f"{OPENING}$1")
     return F.regexp_extract_all(F.lower(marked), F.lit(rf"{NUMBER}[^ ]+|[{NAMES}{UNIT}]?[\p{{L}}\p{{N}}]+"), 0)
 
 
@@ -64,7 +72,7 @@ def _is_slot(word: Column) -> Column:
 
 def _bare(word: Column) -> Column:
     """A word as it reads without name marks."""
-    return F.translate(word, NAMES, "")
+    return F.when(_is_slot(word), F.translate(word, NAMES, "")).otherwise(word)
 
 
 def _read(words: Column, names: tuple[str, ...]) -> Column:
@@ -76,9 +84,40 @@ def _read(words: Column, names: tuple[str, ...]) -> Column:
     return F.transform(words, one)
 
 
+def _bits(items: DataFrame) -> Column:
+    """Bitmap of the words of (words) rows as an array of ``BIT_WORDS`` longs, a scalar."""
+    held = items.select(F.explode(F.transform("words", _bare)).alias("word")).select(F.xxhash64("word").alias("h"))
+    bits = held.select(
+        F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(BIT_WORDS - 1)).alias("i"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    every = items.sparkSession.range(BIT_WORDS).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("bit"))
+    dense = bits.unionByName(every).groupBy("i").agg(F.bit_or("bit").alias("bits"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "bits"))), lambda x: x["bits"])).scalar()
+
+
+def _hopeful(texts: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """(id, row, start, words) of the runs of ``window`` words at least in ``texts`` (id, row, words) that could stand in an item: each
+    word must be a placeholder or a word of some item, as a bitmap tells, which may be wrong only in keeping a word."""
+    def foreign(word: Column) -> Column:
+        h = F.xxhash64(word)
+        bits = F.get("bits", F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(BIT_WORDS - 1)).cast("int"))
+        there = F.call_function("shiftrightunsigned", bits, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        return ~_is_slot(word) & ~there
+
+    def cut(i: Column) -> Column:
+        return F.get("cuts", i)
+
+    n = F.size("words")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    cuts = F.concat(F.array(F.lit(-1)), F.filter(places, lambda i: foreign(F.get("words", i))), F.array(n))
+    gaps = F.filter(F.sequence(F.lit(0), F.size("cuts") - 2), lambda i: cut(i + 1) - cut(i) > window)
+    held = F.transform(gaps, lambda i: F.struct((cut(i) + 1).alias("start"), F.slice("words", cut(i) + 2, cut(i + 1) - cut(i) - 1).alias("words")))
+    runs = texts.withColumn("bits", _bits(items)).withColumn("cuts", cuts).select("id", "row", F.explode_outer(held).alias("run"))
+    return runs.select("id", "row", F.col("run.start").alias("start"), F.coalesce("run.words", F.array().cast("array<string>")).alias("words"))
+
+
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(id, row, pos, key, n_windows) of (id, row, words)."""
-    df = texts.select("id", "row", "words")
+    """(id, row, pos, key, n_windows) of (id, row, start, words), ``start`` being the first word's place."""
+    df = texts.select("id", "row", "start", "words")
     for k, names in enumerate(READINGS):
         df = df.withColumn(f"h{k}", _read(F.col("words"), names))
     df = df.drop("words")
@@ -86,10 +125,32 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
         df = native.with_windows(df, f"h{k}", f"w{k}", window)
     # Most windows read the same in every way.
     keys = F.zip_with(F.zip_with("w0", "w1", lambda a, b: F.array(a, b)), F.col("w2"), lambda ab, c: F.array_distinct(F.concat(ab, F.array(c))))
-    cut = df.select("id", "row", F.size("h0").alias("n_words"), keys.alias("w"))
+    cut = df.select("id", "row", "start", F.size("h0").alias("n_words"), keys.alias("w"))
     # The inner form would have Catalyst filter on the array's size below it, and compute the windows there once more.
-    return (cut.select("id", "row", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "keys"))
-            .select("id", "row", "n_windows", "pos", F.explode_outer("keys").alias("key")).filter("key is not null"))
+    return (cut.select("id", "row", "start", (F.col("n_words") - window + 1).alias("n_windows"), F.posexplode_outer("w").alias("pos", "keys"))
+            .select("id", "row", "n_windows", (F.col("start") + F.col("pos")).alias("pos"), F.explode_outer("keys").alias("key")).filter("key is not null"))
+
+
+def _verbatim_short(texts: DataFrame, items: DataFrame, window: int) -> DataFrame | None:
+    """Pairs of documents and items shorter than a window that they hold word by word; None without such items."""
+    n = F.size("words")
+    short = items.filter((n >= SHORTEST) & (n < window)).select(
+        F.col("id").alias("item_id"), n.alias("n"), F.xxhash64(F.transform("words", _bare)).alias("key"),
+        F.size(F.filter("words", _is_slot)).cast("long").alias("n_slots"))
+    lengths = sorted(r["n"] for r in short.select("n").distinct().collect())  # window - SHORTEST at most
+    if not lengths:
+        return None
+    texts = _hopeful(texts, items, lengths[0]).select("id", F.transform("words", _bare).alias("words"))
+
+    def runs(size: int) -> Column:
+        starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(F.lit(size).alias("n"), F.xxhash64(F.slice("words", i, F.lit(size))).alias("key")))
+
+    keys = texts.select("id", F.explode_outer(F.array_distinct(F.concat(*[runs(s) for s in lengths]))).alias("k"))
+    found = keys.select(F.col("id").alias("doc_id"), "k.n", "k.key").filter("key is not null").join(short, ["n", "key"])
+    one = F.lit(1).cast("long")
+    return found.groupBy(*PAIR).agg(F.max("n_slots").alias("n_slots")).select(
+        *PAIR, one.alias("n_matched"), one.alias("n_windows"), "n_slots", F.lit(False).alias("reparameterised"))
 
 
 PAIR = ["doc_id", "item_id"]
@@ -99,14 +160,24 @@ ALIGNED = [*PAIR, "row", "part", "shift"]  # rows of a document's and an item's
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, run: int = 6, share: float = 0.5, doc: str = "doc_id",
             text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_matched, n_windows, n_slots and reparameterised of each contaminated pair."""
-    def rows(table: DataFrame, key: str, body: str) -> DataFrame:
-        return table.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{body}`")).alias("row"),
-                            F.col(f"`{body}`").alias("text")).filter("id is not null")
-    source = rows(docs, doc, text)
-    items = rows(benchmark, item, item_text).select("id", "row", template_words(F.col("text")).alias("words"))
-    known = _windows(items, window).select(F.col("id").alias("item_id"), F.col("row").alias("part"), F.col("pos").alias("at"), "key",
+    source, items = _rows(docs, doc, text), _rows(benchmark, item, item_text)
+    items = items.select("id", "row", template_words(F.col("text")).alias("words"))
+    short = _verbatim_short(source.select("id", "row", template_words(F.col("text")).alias("words")), items, window)
+    long = _aligned_matches(source, items, window, run, share)
+    return long if short is None else long.unionByName(short)
+
+
+def _rows(table: DataFrame, key: str, body: str) -> DataFrame:
+    return table.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{body}`")).alias("row"),
+                        F.col(f"`{body}`").alias("text")).filter("id is not null")
+
+
+def _aligned_matches(source: DataFrame, items: DataFrame, window: int, run: int, share: float) -> DataFrame:
+    """The pairs of items that have a window."""
+    known = _windows(items.withColumn("start", F.lit(0)), window).select(F.col("id").alias("item_id"), F.col("row").alias("part"), F.col("pos").alias("at"), "key",
                                            F.col("n_windows").alias("n_item")).distinct()
-    windows = _windows(source.select("id", "row", template_words(F.col("text")).alias("words")), window)
+    texts = source.select("id", "row", template_words(F.col("text")).alias("words"))
+    windows = _windows(_hopeful(texts, items, window), window)
     met = written(windows.select(F.col("id").alias("doc_id"), "row", "pos", "key").join(known, "key")
                   .select(*PAIR, "row", "part", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "windows")
     enough = (F.col("n_matched") >= run) | (F.col("n_matched") >= F.col("n_windows") * share)

@@ -66,3 +66,41 @@ def test_names_at_every_place(spark):
     out = {r.doc_id: r for r in decontaminate.matches(spark.createDataFrame(docs, SCHEMA), items).collect()}
     assert set(out) >= {1, 2, 3, 4, 5, 6, 7}
     assert out[2].n_matched == out[2].n_windows == out[4].n_matched and out[2].reparameterised and not out[4].reparameterised
+
+
+def test_short_items_are_found_word_by_word(spark):
+    items = spark.createDataFrame([(1, "What is 12 times 7 plus 5?"), (2, "two words"), (3, "who is Ann and why?"), (4, ITEMS[4][1])], "item_id long, text string")
+    docs = [(1, "So: what is 12 times 7, plus 5? And more."), (2, "what is 13 times 7 plus 5"), (3, "two words"), (4, "x. Who is ann, and why"), (5, None), (6, ITEMS[4][1])]
+    out = {(r.doc_id, r.item_id): r for r in decontaminate.matches(spark.createDataFrame(docs, SCHEMA), items).collect()}
+    assert set(out) == {(1, 1), (4, 3), (6, 4)} and out[1, 1].n_slots == 3 and not out[1, 1].reparameterised
+
+
+def plain_windows(words, window):
+    """Every window of a text under each reading, by the marks its words carry."""
+    def read(word, names):
+        mark = word[0] if decontaminate.NUMBER <= word[0] < decontaminate.AFTER else ""
+        if mark in (decontaminate.NUMBER, decontaminate.UNIT):
+            return mark
+        return decontaminate.NAME if mark and mark in names else word.strip(decontaminate.NAMES)
+    return {tuple(read(w, names) for w in words[i:i + window]) for names in decontaminate.READINGS for i in range(len(words) - window + 1)}
+
+
+def test_windows_against_a_plain_template_matcher(spark, rows):
+    docs = spark.createDataFrame([(r.doc_id, r.text) for r in rows[:120]] + [(1000 + i, t) for i, t in ITEMS if t], SCHEMA)
+    benchmark = spark.read.parquet(f"{MEDIUM}/benchmark.parquet").select("item_id", "text").unionByName(
+        spark.createDataFrame(ITEMS, "item_id long, text string"))
+    words = {r.doc_id: r.w for r in docs.select("doc_id", decontaminate.template_words(docs["text"]).alias("w")).collect()}
+    wanted = [(r.item_id, r.w) for r in benchmark.select("item_id", decontaminate.template_words(benchmark["text"]).alias("w")).collect()]
+    of_items = {}
+    for item, w in wanted:
+        for window in plain_windows(w or [], 8):
+            of_items.setdefault(window, set()).add(item)
+    enough = set()
+    for doc, w in words.items():
+        met = {}
+        for window in plain_windows(w or [], 8) & set(of_items):
+            for item in of_items[window]:
+                met[item] = met.get(item, 0) + 1
+        enough |= {(doc, i) for i, n in met.items()}
+    out = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, benchmark, run=1, share=0.0).filter("n_windows > 1").collect()}
+    assert out <= enough and {d for d, _ in out} >= {1001, 1005}
