@@ -155,8 +155,10 @@ def buckets(signed: DataFrame) -> DataFrame:
 
 def bodies(docs: DataFrame, signed: DataFrame, classes: DataFrame, rule: MinHash) -> DataFrame:
     """(cls, minima, tokens as bytes) of the given classes, each read from its document with the smallest id."""
-    chosen = (signed.filter("n > 0").join(classes, "cls", "left_semi").groupBy("cls")
-              .agg(F.min("doc_id").alias("doc_id"), F.max("minima").alias("minima")))
+    least = signed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))  # combined where the copies are
+    told = signed.filter("minima is not null").select("cls", "minima").join(classes, "cls", "left_semi").groupBy("cls").agg(
+        F.max("minima").alias("minima"))
+    chosen = told.join(least, "cls")
     chosen = written(chosen.select("cls", "minima", F.xxhash64("doc_id").alias("h")), "chosen")
     carried = docs.sparkSession.sparkContext.broadcast(needed_filter(chosen))
 
