@@ -37,8 +37,8 @@ from fareflow.llm.store import written
 LONGEST = 5
 BURST = 1 << 14
 DEPTH = 2
-TRIE_BYTES = 96 << 20
-CHUNK_BYTES = 1 << 20
+TRIE_BYTES = 32 << 20
+CHUNK_BYTES = 1 << 18
 PART_BYTES = 128 << 20
 BREAKERS = b".,;:!?\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -232,8 +232,7 @@ def part_bits(n_words: int, size: int, partitions: int) -> int:
 
 
 def counted(docs: DataFrame, size: int, held: np.ndarray, least: int, bits: int) -> DataFrame:
-    """(w1, ..., a) of the phrases of ``size`` words found ``least`` times; ``held`` is a Bloom filter of their parts one word shorter."""
-    names = [f"w{k + 1}" for k in range(size)] + ["a"]
+    """``PHRASES`` of ``size`` words found ``least`` times; ``held`` is a Bloom filter of their parts one word shorter."""
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def pieces(words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
@@ -283,9 +282,8 @@ def counted(docs: DataFrame, size: int, held: np.ndarray, least: int, bits: int)
         first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]) != 0)
         total = np.add.reduceat(counts[order], first)
         enough = np.flatnonzero(total >= least)
-        words = words[order[first[enough]]]
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(np.ascontiguousarray(words[:, k]).view(np.int64)) for k in range(size)), pa.array(total[enough])], names=names)
+        if len(enough):
+            yield described(words[order[first[enough]]], total[enough])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, runs = None, []
@@ -298,7 +296,7 @@ def counted(docs: DataFrame, size: int, held: np.ndarray, least: int, bits: int)
         yield from merged(runs)
 
     runs = docs.select("lang", "text").mapInArrow(count, "part long, words binary, counts binary")
-    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(merge, ", ".join(f"{n} long" for n in names))
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(merge, PHRASES)
 
 
 def row_ids(words: np.ndarray) -> np.ndarray:
@@ -309,19 +307,18 @@ def row_ids(words: np.ndarray) -> np.ndarray:
     return out if words.shape[1] == 1 else tx.mix(out)
 
 
-def with_parts(level: DataFrame, size: int) -> DataFrame:
-    """(id, words, a, lefts, rights): ids of each phrase and of its parts at every cut."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = np.stack([batch.column(k).to_numpy().view(np.uint64) for k in range(size)], axis=1)
-            lefts = np.stack([row_ids(words[:, :k]) for k in range(1, size)], axis=1)
-            rights = np.stack([row_ids(words[:, k:]) for k in range(1, size)], axis=1)
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.reshape(-1).view(np.int64)))
-                     for m in (words, lefts, rights)]
-            yield pa.RecordBatch.from_arrays([pa.array(row_ids(words).view(np.int64)), lists[0], batch.column(size), *lists[1:]],
-                                             names=["id", "words", "a", "lefts", "rights"])
+PHRASES = "id long, words array<long>, a long, lefts array<long>, rights array<long>"
+
 
-    return level.mapInArrow(cut, "id long, words array<long>, a long, lefts array<long>, rights array<long>")
+def described(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """(id, words, a, lefts, rights): ids of phrases and of their parts at every cut."""
+    size = words.shape[1]
+    lefts = np.stack([row_ids(words[:, :k]) for k in range(1, size)], axis=1)
+    rights = np.stack([row_ids(words[:, k:]) for k in range(1, size)], axis=1)
+    lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]),
+                                      pa.array(np.ascontiguousarray(m).reshape(-1).view(np.int64))) for m in (words, lefts, rights)]
+    return pa.RecordBatch.from_arrays([pa.array(row_ids(words).view(np.int64)), lists[0], pa.array(counts), *lists[1:]],
+                                      names=["id", "words", "a", "lefts", "rights"])
 
 
 def word_table(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -355,7 +352,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = LONGEST, top:
     held, levels = needed_filter(words.select(F.col("id").alias("h"))), []
     for size in range(2, longest + 1):
         level = counted(docs, size, held, least, part_bits(n_words, size, partitions))
-        levels.append(written(with_parts(level, size), f"phrases-{size}"))
+        levels.append(written(level, f"phrases-{size}"))
         held = needed_filter(levels[-1].select(F.col("id").alias("h")))
         if not held.any():
             break
