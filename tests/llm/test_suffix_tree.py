@@ -1,12 +1,17 @@
 import math
+import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from fareflow.llm import queries, suffix_tree
 from fareflow.llm import text as tx
+from fareflow.session import shared_dir
+from tests.conftest import MEDIUM
 from tests.llm.conftest import SMALL, plain_words
 
 
@@ -81,3 +86,64 @@ def test_what_is_broadcast_changes_no_score(spark, documents):
         part = scored(**few)
         assert [d for d, _ in part] == [d for d, _ in whole]
         assert all(math.isclose(a, b, rel_tol=1e-5) for (_, a), (_, b) in zip(part, whole))
+
+
+def stored(spark):
+    return sum(p.stat().st_size for p in Path(shared_dir(spark).removeprefix("file://")).rglob("*.parquet") if p.is_file())
+
+
+def test_written_stages_are_a_small_multiple_of_the_text(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text")
+    before = stored(spark)
+    assert suffix_tree.scores(docs, docs["doc_id"] % 7 != 2, suffix_tree.TreeRules(entry_limit=50_000)).count() == docs.count()
+    assert stored(spark) - before < 5 * docs.selectExpr("sum(octet_length(text))").first()[0]
+
+
+def test_runs_leave_the_counting_tasks_packed(spark, documents):
+    docs = documents.select("text")
+    runs = {t[i:i + 8] for r in docs.collect() if r.text for t in [b"\0" * 7 + " ".join(plain_words(r.text)).encode() + b"\0"] for i in range(len(t) - 7)}
+    counts = suffix_tree.corpus_counts(docs, 7).cache()
+    assert counts.count() * 10 < len(runs)
+    assert suffix_tree.learn(counts, suffix_tree.TreeRules()).counts.filter(f"kind = {suffix_tree.RUNS}").agg({"n": "sum"}).first()[0] == len(runs)
+
+
+def plain_tree(texts, depth, deviations=4.0):
+    """The module's description word by word: log10 p of a text."""
+    spelt = [b"\0" * depth + " ".join(plain_words(t)).encode() + b"\0" for t in texts]
+    seen = {}
+    for s in spelt:
+        for i in range(depth, len(s)):
+            for j in range(depth + 1):
+                seen.setdefault(s[i - j:i], Counter())[s[i]] += 1
+    states = {b""}
+    for ctx, own in seen.items():
+        if ctx:
+            n, short = sum(own.values()), seen[ctx[1:]]
+            g = 2 * sum(c * math.log(c / n / (short[b] / sum(short.values()))) for b, c in own.items())
+            if g > len(own) + deviations * math.sqrt(2 * len(own)):
+                states |= {ctx[k:] for k in range(len(ctx))}
+
+    def p(ctx, byte):
+        own = seen.get(ctx, Counter())
+        n = sum(own.values())
+        if not ctx:
+            return (own[byte] + 1) / (n + 256)
+        if ctx not in states:
+            return p(ctx[1:], byte)
+        return (own[byte] + len(own) * p(ctx[1:], byte)) / (n + len(own))
+
+    def score(text):
+        s = b"\0" * depth + " ".join(plain_words(text)).encode() + b"\0"
+        return sum(math.log10(p(s[i - depth:i], s[i])) for i in range(depth, len(s)))
+    return score
+
+
+@pytest.mark.parametrize("depth, limit", [(7, 1 << 22), (7, 30), (7, 0), (4, 30), (2, 30), (1, 0)])
+def test_scores_against_a_plain_tree(spark, depth, limit):
+    rng = random.Random(5)
+    words = ["the", "cat", "sat", "mat", "Dog", "log", "é", "of", "x", "aa" * 9]
+    texts = [" ".join(rng.choices(words, range(10, 0, -1), k=rng.randrange(30))) for _ in range(80)] + ["", None, "zq vk\nthe cat", "aaaa" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = plain_tree([t for d, t in enumerate(texts) if d % 5], depth)
+    for r in suffix_tree.scores(docs, docs["doc_id"] % 5 != 0, suffix_tree.TreeRules(depth=depth, entry_limit=limit)).collect():
+        assert math.isclose(r.score, want(texts[r.doc_id]), rel_tol=1e-5)
