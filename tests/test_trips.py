@@ -1,12 +1,15 @@
 """Row examples per service and the rule engine."""
 
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from fareflow.operators import quality
+from fareflow.operators import keyed, quality
 from fareflow.plans import trips
+from fareflow.session import prepare
+from fareflow.sources import sinks
 from fareflow.spec import QualityLimits
 
 
@@ -143,6 +146,65 @@ def test_one_id_holding_most_rows_is_not_shuffled_to_one_task(spark):
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_written_copies_mark_what_groups_mark(spark):
+    """Also with null keys, records without a name and rows that come twice whole."""
+    rows = [("a", 1, "r1"), ("a", 1, "r2"), ("a", 1, "r2"), ("a", 2, "r3"), ("b", 1, "r1"), ("b", 1, "r1"), (None, 1, "r4"),
+            (None, 1, "r5"), ("c", None, "r6"), ("c", None, "r7"), ("d", 1, None), ("d", 1, "r8"), ("d", 1, "r9")]
+    df = spark.createDataFrame(rows, "id string, month int, record string")
+    keys = ["id", "month"]
+    copies = sinks.staged(keyed.later_copies(df, keys, "record"), "copies")
+    assert copies.count() == 2  # r2 of a, r9 of d
+    marked = [keyed.mark_copies(df, copies, keys, "record"),
+              keyed.mark_repeats(df, keyed.repeat_groups(df, keys, "record"), keys, "record")]
+    written, grouped = [sorted(map(str, m.select("id", "month", "record", "is_repeat").collect())) for m in marked]
+    assert written == grouped and sum("is_repeat=True" in r for r in written) == 3
+
+
+def test_wide_trips_stay_where_they_are(spark, small):
+    """Shuffles deal order lines, never conformed trips, also where only lookups of known size are broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        copies = small.repeats("fhvhv", small.version())
+        wide = trips.service_master(small.raw("fhvhv"), "fhvhv", small.references(), repeats=copies)
+        plan = wide._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert shuffles and all("orderkey" in line for line in shuffles)
+
+
+def test_only_the_services_of_a_fact_are_built(spark, tmp_path):
+    from fareflow.plans import workspace
+
+    made = []
+
+    def part(service):
+        return lambda: made.append(service) or spark.createDataFrame([(service, 1)], "service_type string, n int")
+
+    def read(*services):
+        df = workspace.stored_by(spark, "parts", str(tmp_path), "service_type", {s: part(s) for s in services})
+        return sorted((r.service_type, r.n) for r in df.collect())
+
+    assert read("green") == [("green", 1)] and made == ["green"]
+    assert read("fhv") == [("fhv", 1)] and read("green", "fhv", "yellow") == [("fhv", 1), ("green", 1), ("yellow", 1)]
+    assert made == ["green", "fhv", "yellow"]
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    def shuffled():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    dealt = prepare(spark).range(10000).groupBy((F.col("id") % 977).alias("k")).agg(F.sum("id").alias("n"))
+    assert sinks.staged(dealt, "dealt").count() == 977
+    until = time.time() + 30
+    while (left := {n for n in shuffled() - before if n.endswith(".data")}) and time.time() < until:
+        time.sleep(0.5)
+    assert not left
+
+
 def test_null_condition_does_not_fire(spark):
     df = spark.createDataFrame([(None,), (3,)], "x int")
     rules = [quality.Rule("BIG", quality.ERROR, "x > 2"), quality.Rule("SMALL", quality.WARNING, "x < 9")]
